@@ -149,15 +149,21 @@ def executor_aggregate(
     executors: DataFrame, keys: list[str], order_col: str | None = None, nunique: str = "exact"
 ) -> DataFrame:
     """Executors split into the driver (one struct; with several, the last
-    one by ``order_col``, default ``addTime``, wins) and typed aggregates over
-    the other executors, prefixed ``executors_``.
+    one by ``order_col``, default ``addTime``, wins, ties broken by the other
+    atomic columns in schema order) and typed aggregates over the other
+    executors, prefixed ``executors_``.
 
     Done in a single aggregation: every non-driver aggregate reads its column
     masked to NULL on driver rows, so executors are shuffled once.
     """
     is_driver = F.col("id") == F.lit("driver")
     payload = [c for c in executors.columns if c not in keys]
-    order = F.struct(F.col(order_col) if order_col else F.col("addTime"))
+    atomic = [
+        f.name
+        for f in executors.schema.fields
+        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+    ]
+    order = F.struct(F.col(order_col or "addTime"), *[F.col(f"`{c}`") for c in atomic])
     masked = executors.select(
         *keys,
         *[F.when(~is_driver, F.col(f"`{c}`")).alias(c) for c in payload],
