@@ -26,11 +26,12 @@ def from_millis(col: Column | str) -> Column:
 def to_millis(col: Column | str, rounded: bool = True) -> Column:
     """Timestamp (or NTZ timestamp, read as UTC) -> epoch milliseconds.
 
-    ``rounded`` rounds sub-millisecond parts half up; otherwise floors.
+    ``rounded`` rounds sub-millisecond parts half to even (as Python's
+    ``round`` does); otherwise floors.
     """
     ts = _c(col).cast("timestamp")
     if rounded:
-        return F.round(F.unix_micros(ts) / F.lit(1000.0)).cast("bigint")
+        return F.bround(F.unix_micros(ts) / F.lit(1000.0)).cast("bigint")
     return F.unix_millis(ts)
 
 

@@ -122,7 +122,9 @@ def sizeof_fmt(col: Column | str, suffix: str = "B") -> Column:
     for i, prefix in enumerate(SIZEOF_PREFIXES):
         scaled = x / F.lit(float(1024 ** i))
         cond = F.abs(scaled) < F.lit(1024.0)
-        text = F.format_string("%3.1f%s%s", scaled, F.lit(prefix), F.lit(suffix))
+        # half-to-even first: Python's %-format rounds the exact binary value,
+        # Java's formatter rounds half up
+        text = F.format_string("%3.1f%s%s", F.bround(scaled, 1), F.lit(prefix), F.lit(suffix))
         out = F.when(cond, text) if out is None else out.when(cond, text)
     last = x / F.lit(float(1024 ** len(SIZEOF_PREFIXES)))
-    return F.when(x.isNotNull(), out.otherwise(F.format_string("%.1f%s%s", last, F.lit("P"), F.lit(suffix))))
+    return F.when(x.isNotNull(), out.otherwise(F.format_string("%.1f%s%s", F.bround(last, 1), F.lit("P"), F.lit(suffix))))
