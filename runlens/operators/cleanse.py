@@ -169,25 +169,39 @@ def attempt_key(attempt_id: Column) -> Column:
 
 def merge_app_doc(attempts: DataFrame, executors: DataFrame, stages: DataFrame,
                   environment: DataFrame | None = None,
-                  keys: tuple[str, str] = ("app_id", "attempt_id"), nested: bool = True) -> DataFrame:
-    """Attach executors, stages (and environment) to their attempt.
-
-    ``nested=True`` builds the document form: executors and stages become
-    arrays on the attempt row (``collect_list`` of one attempt's own rows;
-    an attempt's executors and stages are bounded by what one application
-    ran).  ``nested=False`` keeps three tables and only normalises the keys,
-    which is what the aggregations consume.
+                  keys: tuple[str, str] = ("app_id", "attempt_id"), nested: bool = False,
+                  stage_status: str | None = None) -> DataFrame:
+    """Attach executors, stages (optionally only those of one
+    ``stage_status``) and the environment to their attempt; a missing
+    attempt id means '0' on every side.
+
+    ``nested=False`` (default) joins per-attempt summaries: executors and
+    stages are each reduced to one row per attempt (``n_executors``,
+    ``n_stages``, ``n_status_stages``) before the join, so the joins see
+    attempt-sized inputs and no group is gathered anywhere.
+    ``nested=True`` builds the document form, arrays ``allexecutors`` and
+    ``stages`` on the attempt row via ``collect_list``: only for documents of
+    a known small size, since one attempt's rows land in one task.
     """
     app, att = keys
     norm = lambda df: df.withColumn(att, attempt_key(F.col(att)))
     a, e, s = norm(attempts), norm(executors), norm(stages)
-    if not nested:
-        return a
-    ex_cols = [c for c in e.columns if c not in keys]
-    st_cols = [c for c in s.columns if c not in keys]
-    ex_arr = e.groupBy(app, att).agg(F.collect_list(F.struct(*ex_cols)).alias("allexecutors"))
-    st_arr = s.groupBy(app, att).agg(F.collect_list(F.struct(*st_cols)).alias("stages"))
-    out = a.join(ex_arr, [app, att], "left").join(st_arr, [app, att], "left")
+    if stage_status is not None:
+        s_sel = s.where(F.col("status") == F.lit(stage_status))
+    else:
+        s_sel = s
+    if nested:
+        ex_cols = [c for c in e.columns if c not in keys]
+        st_cols = [c for c in s_sel.columns if c not in keys]
+        ex_side = e.groupBy(app, att).agg(F.collect_list(F.struct(*ex_cols)).alias("allexecutors"))
+        st_side = s_sel.groupBy(app, att).agg(F.collect_list(F.struct(*st_cols)).alias("stages"))
+    else:
+        ex_side = e.groupBy(app, att).agg(F.count(F.lit(1)).alias("n_executors"))
+        status_count = (
+            F.count_if(F.col("status") == F.lit(stage_status)) if stage_status is not None else F.count(F.lit(1))
+        )
+        st_side = s.groupBy(app, att).agg(F.count(F.lit(1)).alias("n_stages"), status_count.alias("n_status_stages"))
+    out = a.join(ex_side, [app, att], "left").join(st_side, [app, att], "left")
     if environment is not None:
         out = out.join(norm(environment), [app, att], "left")
     return out
