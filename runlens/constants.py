@@ -186,7 +186,7 @@ ETL_INFO_CASTS = {
 }
 
 REDACTED_ARGS = ["menas-auth-keytab", "menas-credentials-file", "report-date"]
-REDACTED_VALUE = "redacted"
+REDACTED_VALUE = "spot_removed"
 
 # ETL application types and the stored-size keys read for each (input, output).
 ETL_SIZE_KEYS = {
