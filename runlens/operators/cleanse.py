@@ -205,3 +205,26 @@ def merge_app_doc(attempts: DataFrame, executors: DataFrame, stages: DataFrame,
     if environment is not None:
         out = out.join(norm(environment), [app, att], "left")
     return out
+
+
+def documents_to_tables(apps: DataFrame, attempts_col: str = "attempts") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """P5: nested application documents -> (attempts, executors, stages)
+    flat tables keyed by (app_id, attempt_id), times parsed, listed fields
+    dropped.  Each ``explode`` works inside one document's row."""
+    flat = flatten_attempts(apps, attempts_col)
+    base = flat.select(
+        F.col("id").alias("app_id"), attempt_key(F.col("attempt.attemptId")).alias("attempt_id"), "name",
+        "attempt_pos", "isFinalAttempt", "attempt",
+    )
+    at_fields = [f for f in apps.schema[attempts_col].dataType.elementType.fieldNames()
+                 if f not in ("allexecutors", "stages", "environment", "attemptId")]
+    attempts = parse_time_fields(
+        base.select("app_id", "attempt_id", "name", "attempt_pos", "isFinalAttempt",
+                    *[F.col("attempt")[f].alias(f) for f in at_fields]),
+        "attempt",
+    )
+    ex = base.select("app_id", "attempt_id", F.explode("attempt.allexecutors").alias("e")).select("app_id", "attempt_id", "e.*")
+    st = base.select("app_id", "attempt_id", F.explode("attempt.stages").alias("s")).select("app_id", "attempt_id", "s.*")
+    executors = drop_fields(parse_time_fields(ex, "executor"), "executor")
+    stages = drop_fields(parse_time_fields(st, "stage"), "stage")
+    return attempts, executors, stages

@@ -118,8 +118,9 @@ def small_files(spark, sf_dir):
     "parallelism_by_type",
     f"""WITH s AS ({SUMMARY_SQL}), c AS (SELECT app_id, CASE WHEN is_etl AND valid THEN type ELSE 'other' END AS app_type
                                     FROM ({cls_sql('runs_v')}))
-SELECT app_type, count(*) AS n_runs, {r4('avg(estimated_speedup)')} AS avg_speedup,
-       {r4('avg(estimated_core_efficiency)')} AS avg_efficiency, {r4('avg(parallel_fraction)')} AS avg_parallel_fraction
+SELECT app_type, count(*) AS n_runs, {r4('avg(est_seq_time / (seq_part + parallel_part))')} AS avg_speedup,
+       {r4('avg(CASE WHEN core_cost <> 0 THEN parallel_work / core_cost END)')} AS avg_efficiency,
+       {r4('avg(parallel_part / (seq_part + parallel_part))')} AS avg_parallel_fraction
 FROM s JOIN c USING (app_id) WHERE s.estimated_speedup IS NOT NULL GROUP BY app_type""",
 )
 def parallelism_by_type(spark, sf_dir):
@@ -148,7 +149,7 @@ def hist_efficiency(spark, sf_dir):
 @register(
     "by_cluster",
     f"""WITH s AS ({SUMMARY_SQL})
-SELECT r.host, count(*) AS n_runs, {r4('avg(s.estimated_speedup)')} AS avg_speedup, CAST(sum(s.core_cost) AS BIGINT) AS core_cost
+SELECT r.host, count(*) AS n_runs, {r4('avg(s.est_seq_time / (s.seq_part + s.parallel_part))')} AS avg_speedup, CAST(sum(s.core_cost) AS BIGINT) AS core_cost
 FROM runs_v r JOIN s USING (app_id, attempt_id) WHERE r.host IN ('host-1', 'host-3') GROUP BY r.host""",
 )
 def by_cluster(spark, sf_dir):
