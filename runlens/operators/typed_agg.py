@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 AggFn = Callable[[Column], Column]
 
 
-def _nunique(mode: str) -> AggFn:
+def _nunique(mode: str) -> AggFn | None:
     if mode == "exact":
         # marker: computed by distinct_counts (see module doc); this form is
         # only used when a caller asks for the plain aggregate expression
@@ -41,11 +41,15 @@ def _nunique(mode: str) -> AggFn:
         return lambda c: F.approx_count_distinct(c)
     if mode == "set":
         return lambda c: F.size(F.collect_set(c)).cast("bigint")
+    if mode == "none":
+        return None
     raise ValueError(f"unknown nunique mode {mode!r}")
 
 
 def numeric_aggs(nunique: str = "exact") -> dict[str, AggFn]:
-    return {
+    """``nunique="none"`` leaves the distinct count out (for consumers that
+    never read it, e.g. the attempt summary)."""
+    aggs = {
         "min": F.min,
         "max": F.max,
         "sum": F.sum,
@@ -54,6 +58,7 @@ def numeric_aggs(nunique: str = "exact") -> dict[str, AggFn]:
         "count_zeroes": lambda c: F.count_if(c == 0),
         "count_not_null": F.count,
     }
+    return {k: v for k, v in aggs.items() if v is not None}
 
 
 TIME_AGGS: dict[str, AggFn] = {"min": F.min, "max": F.max}
