@@ -267,7 +267,7 @@ LEFT JOIN s ON s.app_id = r.app_id AND s.attempt_id = r.attempt_id""",
 def attempt_report(spark, sf_dir):
     """Attempt row + executor/stage aggregates + summary (selected fields)."""
     runs, ex, st = V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir)
-    rep = M.attempt_report(runs.select(*K, "name", "startTime", "endTime", "duration"), ex, st)
+    rep = M.attempt_report(runs.select(*K, "name", "startTime", "endTime", "duration"), ex, st, nunique="none")
     return rep.select(
         *K, "name", "duration", "executors_elements_count", F.col("driver").isNotNull().alias("has_driver"),
         "stages_elements_count", *M.SUMMARY_FIELDS,
