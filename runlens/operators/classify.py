@@ -113,6 +113,7 @@ def default_classification(name: Column | str) -> Column:
 
 def enrich(df: DataFrame, name_col: str = "name") -> DataFrame:
     """Default enrichment, replaced by the ETL one for ETL apps: adds
+    ``is_etl``, ``etl_valid`` (an ETL name that classifies),
     ``classification`` (ETL struct or NULL), ``default_classification`` and
     ``tag`` (ETL tag, else the name)."""
     n = F.col(name_col)
@@ -127,8 +128,13 @@ def enrich(df: DataFrame, name_col: str = "name") -> DataFrame:
         n.startswith(prefix_conf) & (F.size(w) == n_conf)
     )
     etl = etl_classification(n, w)
+    valid = (n.startswith(ETL_NEW_PREFIX) & (F.size(w) >= 7)) | (n.startswith(prefix_std) & (F.size(w) == n_std)) | (
+        n.startswith(prefix_conf) & (F.size(w) == n_conf)
+    )
     return (
         staged.withColumn("is_etl", is_etl)
+        # a small flag to filter on (instead of testing the whole struct)
+        .withColumn("etl_valid", valid)
         .withColumn("classification", F.when(F.col("is_etl"), etl))
         .withColumn("default_classification", default_classification(n))
         .withColumn("tag", F.when(F.col("is_etl"), etl_tag(F.col("classification"))).otherwise(n))

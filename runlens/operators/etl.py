@@ -156,7 +156,10 @@ def post_metrics(df: DataFrame, type_col: str = "type", in_mem: str = "stages_in
             expr = F.when(t == etl_type, v) if expr is None else expr.when(t == etl_type, v)
         return expr
 
-    in_st, out_st = pick(0), pick(1)
+    # staged as columns: each is read several times below, and the optimizer
+    # keeps a repeatedly read, non-trivial column computed once
+    staged = df.withColumn("__in_st", pick(0)).withColumn("__out_st", pick(1))
+    in_st, out_st = F.col("__in_st"), F.col("__out_st")
     im, om, pk = F.col(in_mem).cast("double"), F.col(out_mem).cast("double"), F.col(peak).cast("double")
     blocks = lambda x: F.ceil(x / F.lit(float(HDFS_BLOCK_BYTES)))
     metrics = F.struct(
@@ -170,7 +173,7 @@ def post_metrics(df: DataFrame, type_col: str = "type", in_mem: str = "stages_in
     )
     known = t.isin(*ETL_SIZE_KEYS.keys())
     ok = F.col(in_mem).isNotNull() & F.col(info_col).isNotNull() & known
-    return df.withColumn("postprocessing", F.when(ok, metrics))
+    return staged.withColumn("postprocessing", F.when(ok, metrics)).drop("__in_st", "__out_st")
 
 
 def checkpoint_controls(checkpoints: DataFrame, run_col: str = "run_id", pos_col: str = "cp_pos",

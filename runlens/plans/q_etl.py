@@ -21,7 +21,7 @@ K = ["app_id", "attempt_id"]
 def _apps(spark, sf_dir):
     """Classified ETL applications (valid classification only)."""
     e = C.enrich(V.runs_v(spark, sf_dir).select("app_id", "name"))
-    e = e.where(F.col("is_etl") & F.col("classification").isNotNull())
+    e = e.where(F.col("is_etl") & F.col("etl_valid"))
     cl = F.col("classification")
     return e.select(
         "app_id", cl["type"].alias("type"), cl["dataset"].alias("cls_dataset"), cl["app_version"].alias("app_version"),
