@@ -70,7 +70,7 @@ exs AS (SELECT app_id, attempt_id, sum(totalInputBytes) FILTER (WHERE id <> 'dri
     f"""WITH {_DYN}
 SELECT CASE WHEN lower(dyn.v) IN ('true','1','y','yes') THEN true WHEN lower(dyn.v) IN ('false','0','n','no') THEN false END
          AS dynamic_allocation,
-       floor(exs.input_bytes / {256.0 * MIB}) AS input_bucket, count(*) AS n_runs,
+       CAST(floor(exs.input_bytes / {256.0 * MIB}) AS BIGINT) AS input_bucket, count(*) AS n_runs,
        {r4('avg(r.duration)')} AS avg_duration_ms, {r4('avg(exs.cores)')} AS avg_cores
 FROM runs_v r JOIN dyn USING (app_id, attempt_id) JOIN exs USING (app_id, attempt_id)
 WHERE exs.input_bytes IS NOT NULL GROUP BY ALL""",
@@ -95,7 +95,7 @@ def alloc_comparison(spark, sf_dir):
             WHERE key = 'spark.sql.shuffle.partitions' GROUP BY ALL),
 st AS (SELECT app_id, attempt_id, count(*) AS n_stages, sum(inputBytes) AS input_bytes, sum(outputBytes) AS output_bytes
        FROM stages_v GROUP BY ALL)
-SELECT sp.v AS shuffle_partitions, floor(st.input_bytes / {256.0 * MIB}) AS input_bucket, count(*) AS n_runs,
+SELECT sp.v AS shuffle_partitions, CAST(floor(st.input_bytes / {256.0 * MIB}) AS BIGINT) AS input_bucket, count(*) AS n_runs,
        {r4('avg(st.n_stages)')} AS avg_output_partitions, {r4('avg(st.output_bytes)')} AS avg_output_bytes
 FROM sp JOIN st USING (app_id, attempt_id) GROUP BY ALL""",
 )

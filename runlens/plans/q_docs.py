@@ -74,7 +74,7 @@ _DEFAULT_WORDS = "regexp_split_to_array(name, '[ ;,.\\-%_]')"
 
 @register(
     "classify_default",
-    f"""SELECT app_id, name AS app, name AS type, len({_DEFAULT_WORDS}) AS n_words,
+    f"""SELECT app_id, name AS app, name AS type, CAST(len({_DEFAULT_WORDS}) AS INTEGER) AS n_words,
   {_DEFAULT_WORDS}[1] AS word_1, {_DEFAULT_WORDS}[2] AS word_2, {_DEFAULT_WORDS}[3] AS word_3,
   {_DEFAULT_WORDS}[len({_DEFAULT_WORDS})] AS word_last, name AS tag
 FROM runs_v""",

@@ -99,7 +99,7 @@ def _arg_sql(name: str, field: str = "v") -> str:
 
 @register(
     "fn_cmd_args",
-    f"""SELECT id, len(list_distinct(list_transform(args, lambda e: e.k))) AS n_args,
+    f"""SELECT id, CAST(len(list_distinct(list_transform(args, lambda e: e.k))) AS INTEGER) AS n_args,
   {_arg_sql('dataset-name')} AS dataset_name, {_arg_sql('report-date')} AS report_date,
   {_arg_sql('num-partitions')} AS num_partitions, {_arg_sql('mode')} AS mode,
   {_arg_sql('mode', 'vc')} AS mode_compat

@@ -2,6 +2,7 @@
 and the driver entry points."""
 
 import pytest
+from pyspark.sql import types as T
 
 import __spark_entry__ as entry_mod
 from runlens.plans.catalog import ORACLE, QUERIES
@@ -21,8 +22,29 @@ def test_query_matches_oracle(spark, con, key):
     if key not in ORACLE:
         assert df.count() >= 0
         return
-    r = compare(df, con, with_views(ORACLE[key]))
+    sql = with_views(ORACLE[key])
+    r = compare(df, con, sql)
     assert r["ok"], r
+    rel = con.sql(sql)
+    duck = dict(zip(rel.columns, (_duck_family(t) for t in rel.types)))
+    spark_types = {f.name: _spark_family(f.dataType) for f in df.schema.fields}
+    assert spark_types == duck
+
+
+def _spark_family(t):
+    if isinstance(t, T.IntegralType):
+        return t.simpleString().replace("integer", "int")
+    if isinstance(t, T.FractionalType):
+        return "float"
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return "ts"
+    return {T.StringType: "str", T.BooleanType: "bool"}.get(type(t), t.simpleString())
+
+
+def _duck_family(t):
+    t = str(t).upper()
+    return {"TINYINT": "tinyint", "SMALLINT": "smallint", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "float",
+            "FLOAT": "float", "VARCHAR": "str", "BOOLEAN": "bool", "TIMESTAMP": "ts"}.get(t, t)
 
 
 def test_entry(spark):
