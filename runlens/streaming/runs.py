@@ -65,3 +65,26 @@ def start(df: DataFrame, checkpoint: str, trigger: str = "availableNow", output_
     if sink:
         w = w.format(sink)
     return w.start(path) if path else w.start()
+
+
+def observe_runs(df: DataFrame, name: str = "runs"):
+    """A19 (batch): attach a row counter to a DataFrame; after an action,
+    ``observation.get["runs"]`` is the number of runs processed (counted by
+    the executors as the rows flow, no extra job)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("runs")), obs
+
+
+def runs_per_hour(runs: int, seconds: float) -> float:
+    """Processing rate as the source logs it (runs x 3600 / seconds)."""
+    return runs * 3600.0 / seconds if seconds > 0 else 0.0
+
+
+def stream_runs_per_hour(query: StreamingQuery) -> float | None:
+    """A19 (stream): the last micro-batch's processing rate in runs/hour."""
+    p = query.lastProgress
+    if not p or p.get("processedRowsPerSecond") is None:
+        return None
+    return float(p["processedRowsPerSecond"]) * 3600.0

@@ -61,3 +61,30 @@ def test_ids_desc_and_distinct(spark):
     assert [r.end_time for r in top] == [T(4)] * 3
     assert I.distinct_ids(df, "uid").count() == 3
     assert I.max_time(df, "end_time").first()[0] == T(4)
+
+
+def test_typed_wide_equals_long(spark):
+    from runlens.operators.typed_agg import typed_aggregate, typed_aggregate_long
+    from runlens.plans import views as V
+    from tests.conftest import SF_SMALL
+
+    ex = V.executors_v(spark, SF_SMALL).drop("id", "hostPort")
+    keys = ["app_id", "attempt_id"]
+    wide = typed_aggregate(ex, keys)
+    long = typed_aggregate_long(wide, keys, "executors")
+    w = wide.where((F.col("app_id") == "application_1")).first().asDict()
+    got = {(r.field, r.agg): r.value for r in long.where(F.col("app_id") == "application_1").collect()}
+    assert got[("elements_count", "count")] == w["elements_count"]
+    for name, value in w.items():
+        if name in keys or name == "elements_count" or value is None:
+            continue
+        field, agg = name.rsplit("_", 1) if not name.endswith(("count_zeroes", "count_not_null")) else (
+            name[: name.index("_count_")], name[name.index("_count_") + 1:])
+        v = got[(field, agg)]
+        if isinstance(value, bool):
+            value = float(value)
+        elif isinstance(value, dt.datetime):
+            value = value.replace(tzinfo=dt.timezone.utc).timestamp() * 1000
+        assert abs(v - float(value)) < 1e-6, (name, v, value)
+    nonnull = sum(1 for k, v in w.items() if k not in keys and v is not None)
+    assert len(got) == nonnull

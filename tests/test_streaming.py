@@ -48,3 +48,16 @@ def test_versioned_upsert_sink(spark):
     again = S.upsert_table(spark, base, upd, "uid", ["t"], version=3)
     assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in out.collect())
     assert I.max_time(out, "t").first()[0] == 2
+
+
+def test_throughput_observation(spark):
+    import time
+
+    df = V.polls_v(spark, SF_SMALL)
+    observed, obs = R.observe_runs(df)
+    t = time.perf_counter()
+    observed.write.format("noop").mode("overwrite").save()
+    n = obs.get["runs"]
+    assert n == df.count()
+    assert R.runs_per_hour(n, time.perf_counter() - t) > 0
+    assert R.runs_per_hour(5, 0) == 0.0
