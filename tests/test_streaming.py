@@ -61,3 +61,29 @@ def test_throughput_observation(spark):
     assert n == df.count()
     assert R.runs_per_hour(n, time.perf_counter() - t) > 0
     assert R.runs_per_hour(5, 0) == 0.0
+
+
+def test_parquet_store_and_profile(spark):
+    import datetime as dt
+
+    from runlens.operators import incremental as I
+    from runlens.operators.profiles import DefaultProfile, EtlProfile
+    from runlens.sources.telemetry import ParquetStore
+
+    store = ParquetStore(spark, tempfile.mkdtemp(prefix="runlens-pq-") + "/s")
+    T0 = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([("a-1", "a", T0), ("b-1", "b", T0)], "uid string, id string, end_time timestamp")
+    assert store.processed_ids(T0, T0) is None
+    store.save_aggs(batch, version=0)
+    listed = spark.createDataFrame([("a", T0), ("c", T0)], "id string, end_time timestamp")
+    seen = store.processed_ids(T0, T0)
+    assert [r.id for r in I.new_runs(listed, seen).collect()] == ["c"]
+    store.save_errors(spark.createDataFrame([("x",)], "msg string"))
+
+    runs = V.etl_runs_v(spark, SF_SMALL)
+    apps = V.runs_v(spark, SF_SMALL).select("app_id", "name")
+    p = EtlProfile(runs, V.checkpoints_v(spark, SF_SMALL))
+    enriched = p.enrich(p.is_matching_app(apps))
+    assert enriched.where(F.col("run_id").isNotNull()).count() > 0
+    assert "controls_match" in p.aggregate(enriched).columns
+    assert DefaultProfile().enrich(apps).count() == apps.count()
