@@ -187,50 +187,70 @@ def checkpoint_controls(checkpoints: DataFrame, run_col: str = "run_id", pos_col
     '123.0' differ; a missing name is a mismatch).  The first failure by
     (checkpoint position, control position) is reported.
 
+    Plan: one aggregate per run (count, reference position and the
+    reference checkpoint's controls via ``min_by``), one join of the
+    checkpoints with that row, a row-local check of each checkpoint's
+    control list (array functions), and a final per-run ``min_by`` of the
+    failures on the join's partitioning.  A run with very many checkpoints
+    is still spread over tasks (partial aggregation; the join's large side
+    can be split by AQE's skew handling).
+
     Output per run: elements_count, num_controls, controls_match and the
     first failure's checkpoint name, kind, control name/value and reference
     value.
     """
+    n = F.coalesce(F.size(controls_col), F.lit(0))
     cp = checkpoints.select(
-        F.col(run_col).alias("run"), F.col(pos_col).alias("pos"), remove_blanks(F.col(name_col)).alias("cp_name"),
-        F.coalesce(F.size(controls_col), F.lit(0)).alias("n"), F.col(controls_col).alias("controls"),
-    )
-    ref_pos = cp.where(F.col("n") > 0).groupBy("run").agg(F.min("pos").alias("ref_pos"))
-    ctl = cp.select("run", "pos", "cp_name", F.posexplode("controls").alias("ctrl_pos", "c")).select(
-        "run", "pos", "cp_name", "ctrl_pos", F.col("c.controlName").alias("cname"), F.col("c.controlValue").alias("cvalue")
+        F.col(run_col).alias("__run"), F.col(pos_col).alias("__pos"), remove_blanks(F.col(name_col)).alias("__name"),
+        n.alias("__n"), F.col(controls_col).alias("__controls"),
     )
-    ref = (
-        ctl.join(ref_pos, "run").where(F.col("pos") == F.col("ref_pos"))
-        .groupBy("run", "cname").agg(F.max_by("cvalue", "ctrl_pos").alias("ref_value"))
+    ref_order = F.when(F.col("__n") > 0, F.col("__pos"))
+    per_run = cp.groupBy("__run").agg(
+        F.count(F.lit(1)).alias("elements_count"),
+        F.min(ref_order).alias("__ref_pos"),
+        F.min_by("__controls", ref_order).alias("__ref"),
+    ).withColumn(
+        "num_controls",
+        F.coalesce(F.size(F.array_distinct(F.transform("__ref", lambda r: r["controlName"]))), F.lit(0)).cast("bigint"),
     )
-    num = ref.groupBy("run").agg(F.count(F.lit(1)).alias("num_controls"))
-    checked = cp.drop("controls").join(ref_pos, "run").join(num, "run").where(F.col("pos") > F.col("ref_pos"))
-    count_bad = checked.where(F.col("n") != F.col("num_controls")).select(
-        "run", "pos", F.lit(-1).alias("ctrl_pos"), F.lit(True).alias("incorrect_num_controls"), "cp_name",
-        F.lit(None).cast("string").alias("cname"), F.lit(None).cast("string").alias("cvalue"),
-        F.lit(None).cast("string").alias("ref_value"),
+
+    def ref_value(c: Column) -> Column:
+        same = F.filter("__ref", lambda r: r["controlName"].eqNullSafe(c["controlName"]))
+        return F.get(same, F.size(same) - 1)["controlValue"]  # the later duplicate wins
+
+    checked = F.transform(
+        "__controls",
+        lambda c, i: F.struct(
+            i.alias("ctrl_pos"), c["controlName"].alias("cname"), c["controlValue"].alias("cvalue"),
+            ref_value(c).alias("ref_value"),
+        ),
     )
-    same_count = checked.where(F.col("n") == F.col("num_controls")).select("run", "pos")
-    r = ref.withColumnRenamed("run", "__r_run").withColumnRenamed("cname", "__r_cname")
-    value_bad = (
-        ctl.join(same_count, ["run", "pos"])
-        .join(r, (F.col("run") == F.col("__r_run")) & F.col("cname").eqNullSafe(F.col("__r_cname")), "left")
-        .where(~F.col("cvalue").eqNullSafe(F.col("ref_value")))
-        .select("run", "pos", "ctrl_pos", F.lit(False).alias("incorrect_num_controls"), "cp_name", "cname", "cvalue",
-                "ref_value")
+    first_bad = F.get(F.filter(checked, lambda x: ~x["cvalue"].eqNullSafe(x["ref_value"])), 0)
+    after_ref = F.col("__pos") > F.col("__ref_pos")
+    count_bad = F.col("__n") != F.col("num_controls")
+    err = (
+        F.when(after_ref & count_bad, F.struct(
+            F.col("__pos").alias("pos"), F.lit(-1).alias("ctrl_pos"), F.lit(True).alias("incorrect_num_controls"),
+            F.col("__name").alias("cp_name"), F.lit(None).cast("string").alias("cname"),
+            F.lit(None).cast("string").alias("cvalue"), F.lit(None).cast("string").alias("ref_value"),
+        ))
+        .when(after_ref & first_bad.isNotNull(), F.struct(
+            F.col("__pos").alias("pos"), first_bad["ctrl_pos"].alias("ctrl_pos"), F.lit(False).alias("incorrect_num_controls"),
+            F.col("__name").alias("cp_name"), first_bad["cname"].alias("cname"), first_bad["cvalue"].alias("cvalue"),
+            first_bad["ref_value"].alias("ref_value"),
+        ))
     )
-    bad = count_bad.unionByName(value_bad)
-    first = bad.groupBy("run").agg(
-        F.min_by(
-            F.struct("cp_name", "incorrect_num_controls", "cname", "cvalue", "ref_value"), F.struct("pos", "ctrl_pos")
-        ).alias("err")
+    rows = cp.join(per_run, "__run").select("__run", "elements_count", "num_controls", err.alias("__err"))
+    first = rows.groupBy("__run").agg(
+        F.max("elements_count").alias("elements_count"),
+        F.max("num_controls").alias("num_controls"),
+        F.min_by("__err", F.when(F.col("__err").isNotNull(), F.struct(F.col("__err.pos"), F.col("__err.ctrl_pos"))))
+        .alias("err"),
     )
-    counts = cp.groupBy("run").agg(F.count(F.lit(1)).alias("elements_count"))
-    out = counts.join(num, "run", "left").join(first, "run", "left")
-    return out.select(
-        F.col("run").alias(run_col),
+    return first.select(
+        F.col("__run").alias(run_col),
         "elements_count",
-        F.coalesce("num_controls", F.lit(0).cast("bigint")).alias("num_controls"),
+        "num_controls",
         F.col("err").isNull().alias("controls_match"),
         F.col("err.cp_name").alias("error_checkpoint"),
         F.col("err.incorrect_num_controls").alias("error_incorrect_num_controls"),

@@ -20,10 +20,16 @@ def max_time(df: DataFrame, time_col: str, alias: str = "as_of") -> DataFrame:
     return df.agg(F.max(time_col).alias(alias))
 
 
+def scalar_max(df: DataFrame, time_col: str) -> Column:
+    """The greatest value of a column as a scalar subquery: computed once
+    (partial maxima per task, then one final row), used like a literal."""
+    return df.agg(F.max(time_col)).scalar()
+
+
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame to every row (broadcast of one
-    row: the small side has a proven size of one)."""
-    return df.crossJoin(F.broadcast(scalar))
+    """Attach the columns of a one-row frame to every row, each as a scalar
+    subquery (no join)."""
+    return df.select("*", *[scalar.select(c).scalar().alias(c) for c in scalar.columns])
 
 
 def _ts(value: Column | str) -> Column:
@@ -97,16 +103,14 @@ def step_counters(listed: DataFrame, processed: DataFrame, time_col: str, window
 
 def rows_at_latest(store: DataFrame, time_col: str) -> DataFrame:
     """T5: every row at the store's greatest time (ties kept)."""
-    top = max_time(store, time_col, "__max")
-    return store.join(F.broadcast(top), F.col(time_col) == F.col("__max")).drop("__max")
+    return store.where(F.col(time_col) == scalar_max(store, time_col))
 
 
 def since_high_watermark(listed: DataFrame, store: DataFrame, time_col: str, key: str = "id") -> DataFrame:
     """Runs at or after the store's high watermark, minus those already
     stored at exactly that time (the tie set)."""
-    top = max_time(store, time_col, "__hw")
     ties = rows_at_latest(store, time_col).select(key)
-    after = listed.join(F.broadcast(top), F.col(time_col) >= F.col("__hw")).drop("__hw")
+    after = listed.where(F.col(time_col) >= scalar_max(store, time_col))
     return after.join(ties, key, "left_anti")
 
 
@@ -123,9 +127,9 @@ def finished_since_latest(apps: DataFrame, store: DataFrame, time_col: str = "fi
     """Finished applications at or after the store's greatest finish time
     (inclusive, the upsert makes re-reads harmless); all finished ones when
     the store is empty."""
-    top = max_time(store, time_col, "__hw")
+    hw = scalar_max(store, time_col)
     fin = apps.where(F.col(state_col) == F.lit(finished))
-    return fin.join(F.broadcast(top), F.col("__hw").isNull() | (F.col(time_col) >= F.col("__hw"))).drop("__hw")
+    return fin.where(hw.isNull() | (F.col(time_col) >= hw))
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:

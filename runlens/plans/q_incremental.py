@@ -258,12 +258,8 @@ FROM polls_v, a WHERE processed GROUP BY host""",
 def alert_no_new_runs(spark, sf_dir):
     """K3: hosts with nothing processed in the 6 hours before as-of."""
     p = V.polls_v(spark, sf_dir)
-    a = p.agg(F.max("time_processed").alias("as_of"))
-    q = AL.latest_by_host(p.where("processed")).crossJoin(F.broadcast(a))
-    return q.select(
-        "host", "max_time_processed",
-        (F.col("max_time_processed") < F.timestamp_add("HOUR", F.lit(-6), F.col("as_of"))).alias("quiet"),
-    )
+    q = AL.quiet_hosts(p.where("processed"), I.scalar_max(p, "time_processed"))
+    return q.select("host", "max_time_processed", "quiet")
 
 
 @register(
