@@ -84,12 +84,13 @@ def running_level(events: DataFrame, keys: list[str], time_col: str, delta_col:
     3. bucket totals, prefix-summed per key over the (few) buckets;
     4. level = running sum in bucket + sum of all earlier buckets.
     """
-    netted = events.groupBy(*keys, time_col).agg(F.sum(delta_col).alias("__d"))
     b = F.window(time_col, bucket).start
-    with_b = netted.withColumn("__b", b)
+    # netted per (key, bucket, time): grouping by the bucket too makes the
+    # window below and the bucket totals reuse this aggregate's partitioning
+    netted = events.groupBy(*keys, b.alias("__b"), time_col).agg(F.sum(delta_col).alias("__d"))
     inner = Window.partitionBy(*keys, "__b").orderBy(time_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = with_b.withColumn("__local", F.sum("__d").over(inner))
-    totals = with_b.groupBy(*keys, "__b").agg(F.sum("__d").alias("__tot"))
+    local = netted.withColumn("__local", F.sum("__d").over(inner))
+    totals = local.groupBy(*keys, "__b").agg(F.sum("__d").alias("__tot"))
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(before), F.lit(0))).drop("__tot")
     return local.join(offsets, [*keys, "__b"]).select(

@@ -18,14 +18,17 @@ from runlens.operators.typed_agg import executor_aggregate, typed_aggregate
 KEYS = ["app_id", "attempt_id"]
 
 
-def executor_metrics(executors: DataFrame, attempts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def executor_metrics(executors: DataFrame, attempts: DataFrame, keys: list[str] = KEYS,
+                     carry: list[str] | None = None) -> DataFrame:
     """M1: executor lifetime and cost.
 
     Missing ``addTime``/``removeTime`` default to the attempt's start/end.
     Adds x_startTime, x_stopTime, x_durationMilliseconds, x_durationHours,
     x_coreCost (cores x ms), x_storageCost (GiB x ms) and hour variants.
+    ``carry`` names attempt columns to bring along (same join).
     """
-    bounds = attempts.select(*keys, F.col("startTime").alias("__a_start"), F.col("endTime").alias("__a_end"))
+    bounds = attempts.select(*keys, F.col("startTime").alias("__a_start"), F.col("endTime").alias("__a_end"),
+                             *(carry or []))
     ex = executors.join(bounds, keys, "left")
     start = F.coalesce(F.col("addTime"), F.col("__a_start"))
     stop = F.coalesce(F.col("removeTime"), F.col("__a_end"))

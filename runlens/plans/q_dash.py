@@ -10,6 +10,7 @@ from runlens.operators import classify as C
 from runlens.operators import cleanse as P
 from runlens.operators import errors as ER
 from runlens.operators import metrics as M
+from runlens.operators.intervals import concurrent_level
 from runlens.operators.typed_agg import executor_aggregate
 from runlens.plans import views as V
 from runlens.plans.catalog import register
@@ -163,9 +164,12 @@ def by_cluster(spark, sf_dir):
 
 
 def _executor_spans(spark, sf_dir):
-    runs = V.runs_v(spark, sf_dir)
-    ex = M.executor_metrics(V.executors_v(spark, sf_dir), runs).where(F.col("id") != "driver")
-    return ex.join(runs.select(*K, "user"), K).select("user", "x_startTime", "x_stopTime", "totalCores")
+    """Non-driver executor lifetimes with their run's user (executors whose
+    run is unknown are left out); one join with the runs."""
+    runs = V.runs_v(spark, sf_dir).withColumn("__has_run", F.lit(True))
+    ex = M.executor_metrics(V.executors_v(spark, sf_dir), runs, carry=["user", "__has_run"])
+    ex = ex.where((F.col("id") != "driver") & F.col("__has_run"))
+    return ex.select("user", "x_startTime", "x_stopTime", "totalCores")
 
 
 @register(
@@ -196,10 +200,7 @@ SELECT "user", t, CAST(sum(d) OVER (PARTITION BY "user" ORDER BY t ROWS BETWEEN
 def concurrent_cores(spark, sf_dir):
     """Cores held per user at every change point (exact concurrency)."""
     sp = _executor_spans(spark, sf_dir)
-    events = sp.select("user", F.col("x_startTime").alias("t"), F.col("totalCores").cast("bigint").alias("d")).unionByName(
-        sp.select("user", F.col("x_stopTime").alias("t"), (-F.col("totalCores")).cast("bigint").alias("d"))
-    ).where(F.col("t").isNotNull())
-    lv = AL.running_level(events, ["user"], "t", "d")
+    lv = concurrent_level(sp, ["user"], "x_startTime", "x_stopTime", F.col("totalCores").cast("bigint"))
     return lv.select("user", "t", F.col("level").cast("bigint").alias("level"))
 
 
