@@ -75,3 +75,13 @@ ERROR = T.StructType([
 KEYS = [_f("app_id", S), _f("attempt_id", S)]
 EXECUTOR_FLAT = T.StructType(KEYS + EXECUTOR.fields)
 STAGE_FLAT = T.StructType(KEYS + STAGE.fields)
+
+YARN_ATTEMPT = T.StructType([
+    _f("appId", S), _f("id", I), _f("appAttemptId", S), _f("startTime", L), _f("finishedTime", L),
+    _f("containerId", S), _f("nodeId", S), _f("appAttemptState", S),
+])
+
+YARN_CONTAINER = T.StructType([
+    _f("appId", S), _f("appAttemptId", S), _f("containerId", S), _f("allocatedMB", L), _f("allocatedVCores", I),
+    _f("assignedNodeId", S), _f("priority", I), _f("startedTime", L), _f("finishedTime", L), _f("containerState", S),
+])
