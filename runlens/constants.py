@@ -197,6 +197,17 @@ ETL_SIZE_KEYS = {
 
 # Name prefixes of ETL applications (new style; old styles with word counts).
 ETL_NEW_PREFIX = "Enceladus"
+# project value of an ETL classification (and the app value of old-style names)
+ETL_PROJECT = "enceladus"
+
+# additionalInfo keys read by run matching and ETL post metrics
+ETL_KEY_ENGINE_VERSION = "std_enceladus_version"
+ETL_KEY_STD_APP_ID = "std_application_id"
+ETL_KEY_CONFORM_APP_ID = "conform_application_id"
+ETL_KEY_INFO_DATE = "enceladus_info_date"
+
+# root field of error documents
+ERROR_DOC_ROOT = "spot"
 ETL_OLD_STANDARDIZATION = ("Standardisation ", 6)
 ETL_OLD_CONFORMANCE = ("Dynamic Conformance ", 7)
 

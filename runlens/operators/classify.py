@@ -13,6 +13,7 @@ from runlens.constants import (
     DEFAULT_CLASSIFICATION_SEPARATORS,
     ETL_NEW_PREFIX,
     ETL_OLD_CONFORMANCE,
+    ETL_PROJECT,
     ETL_OLD_STANDARDIZATION,
     TOP_TAGS_BUCKETS,
     TOP_TAGS_MIN_COUNT,
@@ -77,12 +78,12 @@ def etl_classification(name: Column | str, words: Column | None = None) -> Colum
     etl_type = (
         F.when(new, F.lower(F.get(w, 1))).when(old_std, F.lit("standardization")).when(old_conf, F.lit("conformance"))
     )
-    app = F.when(new, F.lower(F.get(w, 0))).otherwise(F.lit("enceladus"))
+    app = F.when(new, F.lower(F.get(w, 0))).otherwise(F.lit(ETL_PROJECT))
     info_date = word(3)
     return F.when(
         valid,
         F.struct(
-            F.lit("enceladus").alias("project"),
+            F.lit(ETL_PROJECT).alias("project"),
             app.alias("app"),
             etl_type.alias("type"),
             word(0).alias("app_version"),

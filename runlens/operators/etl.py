@@ -12,7 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.constants import ETL_INFO_CASTS, ETL_SIZE_KEYS, HDFS_BLOCK_BYTES, REDACTED_ARGS, REDACTED_VALUE
+from runlens.constants import (
+    ETL_INFO_CASTS,
+    ETL_KEY_CONFORM_APP_ID,
+    ETL_KEY_ENGINE_VERSION,
+    ETL_KEY_STD_APP_ID,
+    ETL_SIZE_KEYS,
+    HDFS_BLOCK_BYTES,
+    REDACTED_ARGS,
+    REDACTED_VALUE,
+)
 from runlens.functions import (
     cast_value,
     parse_bytes,
@@ -62,11 +71,11 @@ def match_candidates(runs: DataFrame, apps: DataFrame, app_col: str = "app_id")
 
     ``apps`` carries the classification columns; ``runs`` the raw records.
     """
-    std_id, conf_id = info("std_application_id"), info("conform_application_id")
+    std_id, conf_id = info(ETL_KEY_STD_APP_ID), info(ETL_KEY_CONFORM_APP_ID)
     cand = runs.select(
         "uniqueId", "dataset", "datasetVersion", "startDateTime",
         F.col("controlMeasure.metadata.version").alias("info_version_run"),
-        info("std_enceladus_version").alias("app_version_run"),
+        info(ETL_KEY_ENGINE_VERSION).alias("app_version_run"),
         std_id.alias("std_id"), conf_id.alias("conf_id"),
         F.explode(F.array_distinct(F.filter(F.array(std_id, conf_id), lambda x: x.isNotNull()))).alias("__cand"),
     )

@@ -13,7 +13,7 @@ from runlens.plans.catalog import register
 from runlens.plans.oracle_views import r4, sql_cast_number, sql_strip, sql_suffix_parse
 from runlens.plans.q_core import SUMMARY_SQL
 from runlens.plans.q_docs import cls_sql
-from runlens.constants import SIZE_UNITS
+from runlens.constants import ETL_KEY_INFO_DATE, REDACTED_ARGS, SIZE_UNITS
 
 K = ["app_id", "attempt_id"]
 
@@ -159,7 +159,7 @@ def etl_cast_info(spark, sf_dir):
         E.typed_info("records")["num"].alias("records_num"),
         E.typed_info("label")["str"].alias("label_str"),
         E.typed_info("std_input_data_size")["num"].alias("std_input_data_size"),
-        F.concat(F.lit("str:"), E.info("enceladus_info_date")).alias("enceladus_info_date"),
+        F.concat(F.lit("str:"), E.info(ETL_KEY_INFO_DATE)).alias("enceladus_info_date"),
         F.concat(F.lit("str:"), F.col("controlMeasure.metadata.informationDate")).alias("informationDate"),
     )
 
@@ -176,7 +176,7 @@ def redact_args(spark, sf_dir):
     r = V.etl_runs_v(spark, sf_dir)
     m = E.typed_info("std_cmd_line_args")
     entries = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    n_red = F.size(F.filter(F.map_keys(m), lambda k: k.isin("menas-auth-keytab", "menas-credentials-file", "report-date")))
+    n_red = F.size(F.filter(F.map_keys(m), lambda k: k.isin(*REDACTED_ARGS)))
     return r.select("uniqueId", F.array_join(F.array_sort(entries), " ").alias("args"), n_red.alias("n_redacted"))
 
 

@@ -8,6 +8,8 @@ and are typed by ``runlens.operators.cleanse``.
 
 from pyspark.sql import types as T
 
+from runlens.constants import ERROR_DOC_ROOT
+
 S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
 
@@ -65,7 +67,7 @@ YARN_APP = T.StructType([
 ])
 
 ERROR = T.StructType([
-    _f("spot", T.StructType([
+    _f(ERROR_DOC_ROOT, T.StructType([
         _f("time_processed", T.TimestampType()), _f("spark_app_id", S), _f("history_host", S), _f("yarn_host", S),
         _f("error", T.StructType([_f("type", S), _f("message", S), _f("stage", S)])),
     ])),
