@@ -87,3 +87,33 @@ YARN_CONTAINER = T.StructType([
     _f("appId", S), _f("appAttemptId", S), _f("containerId", S), _f("allocatedMB", L), _f("allocatedVCores", I),
     _f("assignedNodeId", S), _f("priority", I), _f("startedTime", L), _f("finishedTime", L), _f("containerState", S),
 ])
+
+# cluster-manager scheduler snapshot (fields used by the scheduler documents)
+PARTITION_CAPACITY = T.StructType([
+    _f("partitionName", S), _f("capacity", D), _f("usedCapacity", D), _f("maxCapacity", D), _f("absoluteCapacity", D),
+])
+RESOURCES = T.StructType([_f("memory", L), _f("vCores", I)])
+RESOURCE_USAGE = T.StructType([
+    _f("partitionName", S), _f("used", RESOURCES), _f("reserved", RESOURCES), _f("pending", RESOURCES),
+    _f("amUsed", RESOURCES),
+])
+SCHED_USER = T.StructType([
+    _f("username", S), _f("numActiveApplications", I), _f("numPendingApplications", I),
+    _f("resources", T.StructType([_f("resourceUsagesByPartition", T.ArrayType(RESOURCE_USAGE))])),
+])
+SCHED_QUEUE = T.StructType([
+    _f("queueName", S), _f("capacity", D), _f("usedCapacity", D), _f("numApplications", I), _f("state", S),
+    _f("capacities", T.StructType([_f("queueCapacitiesByPartition", T.ArrayType(PARTITION_CAPACITY))])),
+    _f("resources", T.StructType([_f("resourceUsagesByPartition", T.ArrayType(RESOURCE_USAGE))])),
+    _f("users", T.StructType([_f("user", T.ArrayType(SCHED_USER))])),
+])
+SCHEDULER_INFO = T.StructType([
+    _f("type", S), _f("capacity", D), _f("usedCapacity", D), _f("maxCapacity", D), _f("queueName", S),
+    _f("capacities", T.StructType([_f("queueCapacitiesByPartition", T.ArrayType(PARTITION_CAPACITY))])),
+    _f("health", T.StructType([_f("lastrun", L), _f("operationsInfo", T.ArrayType(T.MapType(S, S)))])),
+    _f("queues", T.StructType([_f("queue", T.ArrayType(SCHED_QUEUE))])),
+])
+SCHEDULER_SNAPSHOT = T.StructType([
+    _f("time_processed", S),
+    _f("scheduler", T.StructType([_f("schedulerInfo", SCHEDULER_INFO)])),
+])
