@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from runlens.constants import DROP_KEYS, PROPERTY_CASTS, TIME_KEYS
 from runlens.functions import (
-    cast_number,
     parse_bytes,
     parse_bytes_kib,
     parse_bytes_mib,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.constants import GIB, HDFS_BLOCK_BYTES
+from runlens.constants import GIB
 from runlens.functions import hdfs_blocks, millis_between
 from runlens.operators.intervals import interval_union
 from runlens.operators.typed_agg import executor_aggregate, typed_aggregate

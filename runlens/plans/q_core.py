@@ -6,13 +6,6 @@ from pyspark.sql import functions as F
 
 from runlens.operators import metrics as M
 from runlens.operators.intervals import interval_union
-from runlens.operators.typed_agg import (
-    EXTRA_NUMERIC_AGGS,
-    EXTRA_STRING_AGGS,
-    executor_aggregate,
-    typed_aggregate,
-    typed_aggregate_long,
-)
 from runlens.plans import views as V
 from runlens.plans.catalog import register
 from runlens.plans.oracle_views import r4
