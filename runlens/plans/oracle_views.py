@@ -159,6 +159,8 @@ FROM events
 """
 
 _ETL_CODE = "CASE WHEN o_orderkey % 20 = 19 THEN 0 WHEN o_orderkey % 20 = 18 THEN 1 ELSE o_orderkey % 3 END"
+_NAMED_APP = ("'application_' || CAST(o_orderkey AS VARCHAR) || "
+              "CASE WHEN o_orderkey % 5 = 0 THEN '_gone' ELSE '' END")
 _INFO_DATE = ("CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') "
               "ELSE strftime(o_orderdate, '%d-%m-%Y') END")
 
@@ -189,15 +191,15 @@ SELECT 'run-' || CAST(o_orderkey AS VARCHAR) || '{suffix}' AS uniqueId,
          AS ai_conform_output_data_size,
        CASE WHEN o_orderkey % 13 = 5 THEN '2.9.9' ELSE '2.' || CAST(o_custkey % 5 AS VARCHAR) || '.0' END
          AS ai_std_enceladus_version,
-       CASE WHEN {_ETL_CODE} <> 1 THEN 'application_' || CAST(o_orderkey AS VARCHAR) END AS ai_std_application_id,
-       CASE WHEN {_ETL_CODE} <> 0 THEN 'application_' || CAST(o_orderkey AS VARCHAR) END AS ai_conform_application_id,
+       CASE WHEN {_ETL_CODE} <> 1 THEN {_NAMED_APP} END AS ai_std_application_id,
+       CASE WHEN {_ETL_CODE} <> 0 THEN {_NAMED_APP} END AS ai_conform_application_id,
        {_INFO_DATE} AS ai_enceladus_info_date,
        CAST(o_orderkey % 100 AS VARCHAR) AS ai_records,
        'x' || CAST(o_custkey AS VARCHAR) AS ai_label
-FROM orders WHERE o_orderkey % 5 <> 0 {where}"""
+FROM orders {where}"""
 
 
-VIEWS["etl_runs_v"] = _etl_run_sql("", 0, "") + "\nUNION ALL" + _etl_run_sql("-b", 1, "AND o_orderkey % 11 = 0")
+VIEWS["etl_runs_v"] = _etl_run_sql("", 0, "") + "\nUNION ALL" + _etl_run_sql("-b", 1, "WHERE o_orderkey % 11 = 0")
 
 VIEWS["checkpoints_v"] = """
 SELECT 'run-' || CAST(l_orderkey AS VARCHAR) AS run_id,
@@ -211,7 +213,7 @@ SELECT 'run-' || CAST(l_orderkey AS VARCHAR) AS run_id,
        CAST(o_custkey AS VARCHAR) AS c_recordcount,
        CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber > 2 THEN l_orderkey + 1 ELSE l_orderkey END AS VARCHAR)
          AS c_amount
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 5 <> 0
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 VIEWS["controls_v"] = """

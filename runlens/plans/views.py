@@ -319,14 +319,15 @@ def _etl_type_code(ok: Column) -> Column:
 
 
 def etl_runs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ETL run records: one per order whose key is not a multiple of 5, and
-    a second, later run for keys that are multiples of 11.  Every 7th order's
-    run names another dataset version, every 13th (offset 5) another engine
-    version (match failures)."""
+    """ETL run records: one per order, and a second, later run for keys that
+    are multiples of 11.  Every 5th run names an application that does not
+    exist (so those applications have no run), every 7th another dataset
+    version, every 13th (offset 5) another engine version (match failures)."""
     apply_defaults(spark)
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 5 != 0)
+    o = table(spark, sf_dir, "orders")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     code = _etl_type_code(ok)
+    named_app = F.when(ok % 5 == 0, F.concat(_app_id(ok), F.lit("_gone"))).otherwise(_app_id(ok))
     app_id = _app_id(ok)
     info_date = F.when(ok % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(
         F.date_format("o_orderdate", "dd-MM-yyyy")
@@ -359,8 +360,8 @@ def etl_runs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("conform_output_data_size"), F.when(ok % 19 == 0, F.lit("0")).otherwise(F.floor(price * 900).cast("string")),
             F.lit("std_enceladus_version"),
             F.when(ok % 13 == 5, F.lit("2.9.9")).otherwise(F.concat(F.lit("2."), (ck % 5).cast("string"), F.lit(".0"))),
-            F.lit("std_application_id"), F.when(code != 1, app_id),
-            F.lit("conform_application_id"), F.when(code != 0, app_id),
+            F.lit("std_application_id"), F.when(code != 1, named_app),
+            F.lit("conform_application_id"), F.when(code != 0, named_app),
             F.lit("enceladus_info_date"), info_date,
             F.lit("records"), (ok % 100).cast("string"),
             F.lit("label"), F.concat(F.lit("x"), ck.cast("string")),
@@ -386,13 +387,13 @@ def etl_runs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkpoints_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints of the ETL runs: one per line item of an order that has a
-    run, position = rank of the line item over all its columns.  Controls:
+    """Checkpoints of the ETL runs: one per line item (the run of its order),
+    position = rank of the line item over all its columns.  Controls:
     record count and amount; the amount changes on returned items past line
     2, line 7 lacks it, and line 1 of accepted items has no controls."""
     apply_defaults(spark)
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").where(F.col("o_orderkey") % 5 != 0)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     order_cols = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
