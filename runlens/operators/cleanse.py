@@ -79,21 +79,26 @@ _CASTERS = {
 }
 
 
-def typed_properties(props: Column, casts: dict[str, list[str]] = PROPERTY_CASTS) -> Column:
-    """P3 step 2: struct of typed columns, one per key of the cast table.
-
-    Absent keys give NULL fields.  ``yarn_scheduler_heartbeat_interval-ms`` is
-    already in milliseconds, so it is read with a millisecond default.
-    """
-    fields = []
+def typed_property(props: Column, name: str, casts: dict[str, list[str]] = PROPERTY_CASTS) -> Column:
+    """P3 step 2 for one key: the value typed by the key's cast (text when
+    the key has none).  ``yarn_scheduler_heartbeat_interval-ms`` is already
+    in milliseconds, so it is read with a millisecond default."""
+    raw = F.element_at(props, F.lit(name))
     for kind, names in casts.items():
-        for name in names:
-            raw = F.element_at(props, F.lit(name))
+        if name in names:
             if name.endswith("-ms"):
-                fields.append(parse_ms(raw, default_multiplier=1).alias(name))
-            else:
-                fields.append(_CASTERS[kind](raw).alias(name))
-    return F.struct(*fields)
+                return parse_ms(raw, default_multiplier=1)
+            return _CASTERS[kind](raw)
+    return raw
+
+
+def typed_properties(props: Column, casts: dict[str, list[str]] = PROPERTY_CASTS,
+                     only: list[str] | None = None) -> Column:
+    """P3 step 2: struct of typed columns, one per key of the cast table (or
+    of ``only``).  Absent keys give NULL fields.  Ask for the keys a query
+    reads: a struct read several times is computed whole for every row."""
+    names = only if only is not None else [n for ns in casts.values() for n in ns]
+    return F.struct(*[typed_property(props, n, casts).alias(n) for n in names])
 
 
 def untyped_properties(props: Column, casts: dict[str, list[str]] = PROPERTY_CASTS) -> Column:
@@ -102,11 +107,14 @@ def untyped_properties(props: Column, casts: dict[str, list[str]] = PROPERTY_CAS
     return F.map_filter(props, lambda k, v: ~k.isin(*typed))
 
 
-def clean_environment(env: DataFrame, pairs_col: str = "sparkProperties") -> DataFrame:
-    """Properties to map (listed keys dropped), typed struct and text rest;
-    runtime.javaHome and the two bulky sections dropped."""
+def clean_environment(env: DataFrame, pairs_col: str = "sparkProperties", typed_keys: list[str] | None = None) -> DataFrame:
+    """Properties to map (listed keys dropped), typed struct (all keys of
+    the cast table, or ``typed_keys``) and text rest; runtime.javaHome and
+    the two bulky sections dropped."""
     props = drop_map_keys(property_map(F.col(pairs_col)), DROP_KEYS["sparkProperties"])
-    out = env.withColumn(pairs_col, props).withColumn("typedProperties", typed_properties(F.col(pairs_col)))
+    out = env.withColumn(pairs_col, props).withColumn(
+        "typedProperties", typed_properties(F.col(pairs_col), only=typed_keys)
+    )
     if "runtime" in env.columns and "javaHome" in env.schema["runtime"].dataType.fieldNames():
         out = out.withColumn("runtime", F.col("runtime").dropFields("javaHome"))
     return drop_fields(out, "environment")

@@ -78,7 +78,7 @@ WHERE exs.input_bytes IS NOT NULL GROUP BY ALL""",
 )
 def alloc_comparison(spark, sf_dir):
     """K9: fixed vs dynamic allocation: runs, mean duration and cores per input-size bucket."""
-    env = P.clean_environment(V.env_v(spark, sf_dir)).select(
+    env = P.clean_environment(V.env_v(spark, sf_dir), typed_keys=["spark_dynamicAllocation_enabled"]).select(
         *K, F.col("typedProperties.spark_dynamicAllocation_enabled").alias("dynamic_allocation")
     )
     ex = V.executors_v(spark, sf_dir).where(F.col("id") != "driver").groupBy(*K).agg(
@@ -102,7 +102,7 @@ FROM sp JOIN st USING (app_id, attempt_id) GROUP BY ALL""",
 )
 def small_files(spark, sf_dir):
     """Output partitions and bytes vs input size, per shuffle-partition setting."""
-    env = P.clean_environment(V.env_v(spark, sf_dir)).select(
+    env = P.clean_environment(V.env_v(spark, sf_dir), typed_keys=[]).select(
         *K, F.col("sparkProperties")["spark_sql_shuffle_partitions"].alias("shuffle_partitions")
     )
     st = V.stages_v(spark, sf_dir).groupBy(*K).agg(

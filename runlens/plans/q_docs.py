@@ -189,7 +189,11 @@ FROM pc GROUP BY ALL""",
 def props_typed(spark, sf_dir):
     """Property pairs -> map (later duplicate wins, listed keys
     dropped) -> typed columns per the cast table."""
-    env = P.clean_environment(V.env_v(spark, sf_dir))
+    keys = [
+        "spark_executor_memory", "spark_executor_cores", "spark_dynamicAllocation_enabled", "spark_network_timeout",
+        "spark_executor_memoryOverhead", "spark_yarn_scheduler_heartbeat_interval-ms",
+    ]
+    env = P.clean_environment(V.env_v(spark, sf_dir), typed_keys=keys)
     t = F.col("typedProperties")
     return env.select(
         *K,
@@ -212,7 +216,7 @@ FROM pc GROUP BY ALL""",
 )
 def proj_drop_fields(spark, sf_dir):
     """Listed properties, runtime.javaHome and the bulky sections dropped."""
-    env = P.clean_environment(V.env_v(spark, sf_dir))
+    env = P.clean_environment(V.env_v(spark, sf_dir), typed_keys=[])
     keys = F.array_sort(F.map_keys("sparkProperties"))
     runtime_fields = env.schema["runtime"].dataType.fieldNames()
     return env.select(
@@ -228,7 +232,7 @@ SELECT key, value, count(*) AS n_apps FROM pc GROUP BY key, value""",
 )
 def config_stats(spark, sf_dir):
     """K7: how many applications ran with each configuration value."""
-    env = P.clean_environment(V.env_v(spark, sf_dir))
+    env = P.clean_environment(V.env_v(spark, sf_dir), typed_keys=[])
     kv = env.select(F.explode("sparkProperties").alias("key", "value"))
     return kv.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n_apps"))
 
