@@ -86,13 +86,13 @@ def _names(cols, prefix: str = "", only: set[str] | None = None) -> list[str]:
     return [f"{prefix}{n}_{a}" for n, k in cols for a in _aggs_for(k) if only is None or a in only]
 
 
-def _stage_aggs(spark, sf_dir):
-    return M.stage_aggregate(V.stages_v(spark, sf_dir), K)
+def _stage_aggs(spark, sf_dir, nunique="exact"):
+    return M.stage_aggregate(V.stages_v(spark, sf_dir), K, nunique=nunique)
 
 
-def _executor_aggs(spark, sf_dir):
+def _executor_aggs(spark, sf_dir, nunique="exact"):
     runs, ex = V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir)
-    return executor_aggregate(M.executor_metrics(ex, runs, K).drop("hostPort"), K)
+    return executor_aggregate(M.executor_metrics(ex, runs, K).drop("hostPort"), K, nunique=nunique)
 
 
 STAGE_AGGS_SQL = f"""WITH {ST_SQL},
@@ -204,8 +204,11 @@ def _register_projection(key: str, doc: str, only: set[str], kinds: set[str], so
 SELECT app_id, attempt_id, {typed_sql(cols, prefix, where=where, only=only)}
 FROM {frame} GROUP BY app_id, attempt_id"""
 
+    # distinct counts only when selected: a join to them is not pruned away
+    nunique = "exact" if "nunique" in only else "none"
+
     def q(spark, sf_dir):
-        df = _stage_aggs(spark, sf_dir) if source == "stages" else _executor_aggs(spark, sf_dir)
+        df = _stage_aggs(spark, sf_dir, nunique) if source == "stages" else _executor_aggs(spark, sf_dir, nunique)
         return df.select(*K, *_names(cols, prefix, only))
 
     q.__doc__ = doc

@@ -55,7 +55,8 @@ def hist_input_bytes(spark, sf_dir):
 )
 def hist_zero_executors(spark, sf_dir):
     """K8: runs by their number of executors with zero failed tasks (A4 then K6)."""
-    agg = executor_aggregate(V.executors_v(spark, sf_dir).select(*K, "id", "failedTasks"), K, order_col="failedTasks")
+    agg = executor_aggregate(V.executors_v(spark, sf_dir).select(*K, "id", "failedTasks"), K, order_col="failedTasks",
+                             nunique="none")
     agg = agg.where(F.col("executors_elements_count") > 0)
     return AL.histogram(agg, "executors_failedTasks_count_zeroes", 1.0)
 
