@@ -9,6 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
+
+# exact by default (doubles are rounded with identical IEEE steps on both
+# sides); RUNLENS_EXACT_COMPARE=0 compares to 6 places instead
+EXACT = os.environ.get("RUNLENS_EXACT_COMPARE", "1") == "1"
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -32,7 +37,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, dt.datetime):
         if v.tzinfo is not None:
             v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
