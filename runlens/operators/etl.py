@@ -22,6 +22,7 @@ from runlens.constants import (
     REDACTED_ARGS,
     REDACTED_VALUE,
 )
+from runlens.operators.intervals import bucketed_row_number
 from runlens.functions import (
     cast_value,
     parse_bytes,
@@ -99,16 +100,17 @@ def match_candidates(runs: DataFrame, apps: DataFrame, app_col: str = "app_id")
     return pairs.withColumn("run_app_id", run_app_id).withColumn("matched", matched)
 
 
-def rank_runs(matched: DataFrame, app_col: str = "app_id") -> DataFrame:
+def rank_runs(matched: DataFrame, app_col: str = "app_id", bucket_seconds: int = 86400) -> DataFrame:
     """Runs of each application newest first (``run_rank`` 0, 1, ...);
-    unparsable start times rank last, ties by run id.  A window per
-    application: its partition is that application's runs."""
-    w = Window.partitionBy(app_col).orderBy(F.desc_nulls_last("__start"), F.desc("uniqueId"))
-    return (
-        matched.withColumn("__start", run_start())
-        .withColumn("run_rank", F.row_number().over(w) - 1)
-        .drop("__start")
+    unparsable start times rank last, ties by run id.  Numbered in two
+    levels (start-day buckets, then a prefix sum of earlier buckets' counts)
+    so an application with very many runs is not ranked in one task."""
+    staged = matched.withColumn("__start", run_start())
+    bucket = F.floor(F.unix_seconds("__start") / F.lit(bucket_seconds))
+    ranked = bucketed_row_number(
+        staged, [app_col], bucket, [F.desc_nulls_last("__start"), F.desc("uniqueId")], "__rn", bucket_desc=True
     )
+    return ranked.withColumn("run_rank", F.col("__rn") - 1).drop("__start", "__rn")
 
 
 def positional_join(attempts: DataFrame, ranked_runs: DataFrame, app_col: str = "app_id",
