@@ -88,3 +88,11 @@ def stream_runs_per_hour(query: StreamingQuery) -> float | None:
     if not p or p.get("processedRowsPerSecond") is None:
         return None
     return float(p["processedRowsPerSecond"]) * 3600.0
+
+
+def high_watermarks(stream: DataFrame, key: str = "host", time_col: str = "end_time") -> DataFrame:
+    """X6 (stream): the latest completion time seen per source, kept in the
+    state store by a streaming aggregation (partial maxima per task, merged
+    with the stored state each micro-batch); run with output mode
+    ``update`` (changed sources only) or ``complete``."""
+    return stream.groupBy(key).agg(F.max(time_col).alias("high_watermark"), F.count(F.lit(1)).alias("n_runs"))

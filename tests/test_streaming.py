@@ -87,3 +87,16 @@ def test_parquet_store_and_profile(spark):
     assert enriched.where(F.col("run_id").isNotNull()).count() > 0
     assert "controls_match" in p.aggregate(enriched).columns
     assert DefaultProfile().enrich(apps).count() == apps.count()
+
+
+def test_stream_high_watermarks_equal_batch(spark):
+    work = tempfile.mkdtemp(prefix="runlens-hw-")
+    polls = V.polls_v(spark, SF_SMALL).select("id", "host", "end_time")
+    polls.where(F.col("end_time") < F.lit("2024-01-15").cast("timestamp")).write.parquet(f"{work}/landing/a")
+    polls.where(F.col("end_time") >= F.lit("2024-01-15").cast("timestamp")).write.parquet(f"{work}/landing/b")
+    stream = R.listed_runs(spark, f"{work}/landing/*", polls.schema, max_files=1)
+    q = R.start(R.high_watermarks(stream), f"{work}/ck", output_mode="complete", sink="memory", query_name="hw_test")
+    q.awaitTermination(180)
+    got = {(r.host, r.high_watermark, r.n_runs) for r in spark.table("hw_test").collect()}
+    want = {(r.host, r.m, r.n) for r in polls.groupBy("host").agg(F.max("end_time").alias("m"), F.count("*").alias("n")).collect()}
+    assert got == want
