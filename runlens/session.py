@@ -62,3 +62,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024,
+               expansion: float = 2.0) -> dict[str, str]:
+    """Settings sized for a volume: shuffle partitions so that a shuffle
+    partition holds about ``target_partition_bytes`` even when a job's
+    shuffles carry ``expansion`` times the input (typed aggregation unpivots
+    rows), rounded up to whole waves of the cluster's cores; scan splits of
+    the same size; AQE on to coalesce small partitions and split skewed
+    ones.  ``input_bytes`` can come from ``sources.telemetry.input_size``
+    (file metadata only)."""
+    cores = max(1, int(total_cores))
+    wanted = max(1, int(input_bytes * expansion // target_partition_bytes) + 1)
+    partitions = ((wanted + cores - 1) // cores) * cores
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int, override: bool = False,
+                     **kwargs) -> dict[str, str]:
+    """Set the ``scale_conf`` values on a session (runtime SQL options); keys
+    the session already sets explicitly are kept unless ``override``."""
+    applied = {}
+    for key, value in scale_conf(input_bytes, total_cores, **kwargs).items():
+        current = spark.conf.get(key, None)
+        if override or current is None or key == "spark.sql.shuffle.partitions" and current == "200":
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
