@@ -33,16 +33,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as is.  Only when it
-    is unset (local tests) is a private folder created and registered.
+    is unset and the session is local (tests) is a private folder created
+    and registered; on a cluster an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is lost with its executor: a cluster must
+        # name a shared one
+        raise ValueError("spark.checkpoint.dir is not set; set it to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="runlens-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
 
 
+def checkpoint_path(spark: SparkSession, name: str) -> str:
+    """A sub-folder of the shared checkpoint folder (e.g. for one streaming
+    query's progress)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name: str = "runlens") -> SparkSession:
     """Local session for tests and benchmarks (UI off, AQE on)."""
     builder = (
