@@ -47,12 +47,20 @@ def step_counts(stream: DataFrame, time_col: str = "end_time", step_seconds: int
     )
 
 
-def start(df: DataFrame, checkpoint: str, trigger: str = "availableNow", output_mode: str = "append",
+def start(df: DataFrame, checkpoint: str | None = None, trigger: str = "availableNow", output_mode: str = "append",
           sink: str | None = None, path: str | None = None,
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
           query_name: str | None = None) -> StreamingQuery:
     """Start a streaming query; ``foreach_batch`` receives each
-    micro-batch with its id (used for idempotent versioned upserts)."""
+    micro-batch with its id (used for idempotent versioned upserts).  Without
+    ``checkpoint`` the query's progress goes to ``<spark.checkpoint.dir>/<query_name>``
+    (a restarted query with the same name resumes)."""
+    if checkpoint is None:
+        if not query_name:
+            raise ValueError("give a checkpoint folder or a query_name")
+        from runlens.session import checkpoint_path
+
+        checkpoint = checkpoint_path(df.sparkSession, query_name)
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if query_name:
         w = w.queryName(query_name)
