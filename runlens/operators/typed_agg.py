@@ -32,15 +32,21 @@ from pyspark.sql import types as T
 AggFn = Callable[[Column], Column]
 
 
+def _present(c: Column, value: Column) -> Column:
+    """An aggregate of a column that has no value in the group is omitted
+    (NULL): the source only aggregates columns it sees with values."""
+    return F.when(F.count(c) > 0, value)
+
+
 def _nunique(mode: str) -> AggFn | None:
     if mode == "exact":
         # marker: computed by distinct_counts (see module doc); this form is
         # only used when a caller asks for the plain aggregate expression
-        return lambda c: F.count_distinct(c)
+        return lambda c: _present(c, F.count_distinct(c))
     if mode == "approx":
-        return lambda c: F.approx_count_distinct(c)
+        return lambda c: _present(c, F.approx_count_distinct(c))
     if mode == "set":
-        return lambda c: F.size(F.collect_set(c)).cast("bigint")
+        return lambda c: _present(c, F.size(F.collect_set(c)).cast("bigint"))
     if mode == "none":
         return None
     raise ValueError(f"unknown nunique mode {mode!r}")
@@ -55,8 +61,8 @@ def numeric_aggs(nunique: str = "exact") -> dict[str, AggFn]:
         "sum": F.sum,
         "mean": F.avg,
         "nunique": _nunique(nunique),
-        "count_zeroes": lambda c: F.count_if(c == 0),
-        "count_not_null": F.count,
+        "count_zeroes": lambda c: _present(c, F.count_if(c == 0)),
+        "count_not_null": lambda c: _present(c, F.count(c)),
     }
     return {k: v for k, v in aggs.items() if v is not None}
 
@@ -65,7 +71,7 @@ TIME_AGGS: dict[str, AggFn] = {"min": F.min, "max": F.max}
 BOOL_AGGS: dict[str, AggFn] = {
     "any": F.bool_or,
     "all": F.bool_and,
-    "sum": lambda c: F.count_if(c),
+    "sum": lambda c: _present(c, F.count_if(c)),
 }
 
 # Optional aggregates (not in the default table).
@@ -150,15 +156,13 @@ def distinct_counts(df: DataFrame, keys: list[str], cols: list[str], prefix: str
 def _with_exact_nunique(aggregated: DataFrame, source: DataFrame, keys: list[str], cols: list[str], prefix: str,
                         order: list[str]) -> DataFrame:
     """Join exact distinct counts to one-row-per-group aggregates and restore
-    the column order (a group without values for a column counts 0)."""
+    the column order (a group without values for a column has no count:
+    NULL, like every other aggregate of that column)."""
     if not cols:
         return aggregated.select(*order)
     dc = distinct_counts(source, keys, cols, prefix)
     joined = aggregated.join(dc, keys, "left")
-    names = {f"{prefix}{c}_nunique" for c in cols}
-    return joined.select(*[
-        F.coalesce(F.col(f"`{n}`"), F.lit(0).cast("bigint")).alias(n) if n in names else F.col(f"`{n}`") for n in order
-    ])
+    return joined.select(*[F.col(f"`{n}`") for n in order])
 
 
 def typed_aggregate(
@@ -171,8 +175,10 @@ def typed_aggregate(
 ) -> DataFrame:
     """One row per group: ``elements_count`` plus ``<column>_<agg>`` columns.
 
-    Aggregates that have no value (all inputs NULL) are NULL, matching the
-    "omitted" results of the source format.
+    Aggregates that have no value are NULL, matching the "omitted" results
+    of the source format; a column without any value in the group has all
+    its aggregates omitted (counts included), so an empty group has only
+    ``elements_count``.
     """
     split = type_aggs is None and nunique == "exact"
     if type_aggs is None:

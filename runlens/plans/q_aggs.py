@@ -47,11 +47,12 @@ def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
     c = f'"{col}"'
     if kind == "ts":
         return {"min": f"min({c}){f}", "max": f"max({c}){f}"}[agg]
+    present = f"count({c}){f} > 0"
     if kind == "bool":
         return {
             "any": f"bool_or({c}){f}",
             "all": f"bool_and({c}){f}",
-            "sum": f"CAST(count(CASE WHEN {c} THEN 1 END){f} AS BIGINT)",
+            "sum": f"CASE WHEN {present} THEN CAST(count(CASE WHEN {c} THEN 1 END){f} AS BIGINT) END",
         }[agg]
     if agg == "min" or agg == "max":
         e = f"{agg}({c}){f}"
@@ -61,11 +62,11 @@ def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
     if agg == "mean":
         return r4(f"avg({c}){f}")
     if agg == "nunique":
-        return f"CAST(count(DISTINCT {c}){f} AS BIGINT)"
+        return f"CASE WHEN {present} THEN CAST(count(DISTINCT {c}){f} AS BIGINT) END"
     if agg == "count_zeroes":
-        return f"CAST(count(CASE WHEN {c} = 0 THEN 1 END){f} AS BIGINT)"
+        return f"CASE WHEN {present} THEN CAST(count(CASE WHEN {c} = 0 THEN 1 END){f} AS BIGINT) END"
     if agg == "count_not_null":
-        return f"CAST(count({c}){f} AS BIGINT)"
+        return f"CASE WHEN {present} THEN CAST(count({c}){f} AS BIGINT) END"
     raise ValueError(agg)
 
 

@@ -92,3 +92,15 @@ def test_list_apps(spark):
     got = sorted(r.id for r in S.list_apps(apps, status="completed", min_date="2020-01-15 10:30:00").collect())
     assert got == ["app-2", "app-3"]
     assert [r.id for r in S.list_apps(apps, apps_limit=1).collect()] == ["app-3"]
+
+
+def test_value_less_columns_omitted(tables):
+    _, (att, ex, st) = tables
+    rep = {(r.app_id, r.attempt_id): r for r in M.attempt_report(att, ex, st).collect()}
+    d = rep[("app-2", "0")]  # driver only: no executor has any value
+    assert d.executors_elements_count == 0
+    assert d.executors_totalCores_count_not_null is None and d.executors_totalCores_count_zeroes is None
+    assert d.executors_totalCores_nunique is None and d.executors_totalCores_sum is None
+    r = rep[("app-1", "2")]
+    # per-task averages exist for 2 of the 4 stages (stages 1 and 3 completed no task)
+    assert r.stages_x_average_task_input_bytes_count_not_null == 2
