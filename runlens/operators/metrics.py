@@ -152,20 +152,31 @@ def attempt_report(
     stages: DataFrame,
     keys: list[str] = KEYS,
     nunique: str = "exact",
+    parallelism: bool = True,
 ) -> DataFrame:
     """One row per attempt with executor aggregates (driver split off),
     stage aggregates, interval union and the summary metrics.
 
     Executors and stages are each aggregated to one row per attempt before
-    any join, so the joins see attempt-sized inputs only.
+    any join, so the joins see attempt-sized inputs only.  With
+    ``parallelism=False`` the interval union is skipped (its fields, and the
+    summary fields derived from it, are NULL) for consumers that read only
+    sizes and costs: a joined-in result is computed even when unread.
     """
     ex_aggs = executor_aggregate(executor_metrics(executors, attempts, keys), keys, nunique=nunique)
     st = stages
     st_aggs = stage_aggregate(st, keys, nunique=nunique)
-    par = interval_union(
-        st, keys, "firstTaskLaunchedTime", "completionTime", covered_col="stages_union_ms", overlap_col="stages_overlap"
-    )
-    joined = attempts.join(ex_aggs, keys, "left").join(st_aggs, keys, "left").join(par, keys, "left")
+    joined = attempts.join(ex_aggs, keys, "left").join(st_aggs, keys, "left")
+    if parallelism:
+        par = interval_union(
+            st, keys, "firstTaskLaunchedTime", "completionTime", covered_col="stages_union_ms",
+            overlap_col="stages_overlap",
+        )
+        joined = joined.join(par, keys, "left")
+    else:
+        joined = joined.withColumn("stages_union_ms", F.lit(None).cast("bigint")).withColumn(
+            "stages_overlap", F.lit(None).cast("boolean")
+        )
     return joined.select("*", *summary_columns())
 
 

@@ -207,7 +207,8 @@ FROM j""",
 def etl_post_metrics(spark, sf_dir):
     """M9: storage/memory factors of ETL attempts joined with their newest matching run."""
     runs, ex, st = V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir)
-    rep = M.attempt_report(runs.select(*K, "startTime", "endTime", "duration"), ex, st, nunique="none")
+    rep = M.attempt_report(runs.select(*K, "startTime", "endTime", "duration"), ex, st, nunique="none",
+                           parallelism=False)
     rep = rep.select(*K, "stages_inputBytes_max", "stages_outputBytes_max", "est_peak_memory_usage")
     apps = _apps(spark, sf_dir).select("app_id", "type")
     newest = _matched_ranked(spark, sf_dir).where(F.col("run_rank") == 0).select("app_id", "uniqueId")
