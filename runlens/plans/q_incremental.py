@@ -275,3 +275,29 @@ def error_log_view(spark, sf_dir):
     return ea.where((t > F.timestamp_add("DAY", F.lit(-7), F.col("as_of"))) & (t <= F.col("as_of"))).select(
         "time_processed", "spark_app_id", "host", "type", "message"
     )
+
+
+@register(
+    "filter_name",
+    "SELECT app_id, name FROM runs_v WHERE name LIKE 'Daily_report-%'",
+)
+def filter_name(spark, sf_dir):
+    """Runs passing a name predicate given as SQL text."""
+    from runlens.operators.cleanse import filter_names
+
+    return filter_names(V.runs_v(spark, sf_dir), "name LIKE 'Daily_report-%'").select("app_id", "name")
+
+
+@register(
+    "time_step_assign",
+    f"""{_STEP_SQL}
+SELECT id, end_time, step, lo + to_seconds(step * 3600) AS step_start,
+       least(lo + to_seconds((step + 1) * 3600), hi) AS step_end FROM s""",
+)
+def time_step_assign(spark, sf_dir):
+    """Every run of the lookback window assigned to its step
+    (containment [step_start, step_end) computed arithmetically: an equi
+    relation, no range join)."""
+    p, as_of = _polls(spark, sf_dir)
+    lo, hi = I.lookback_bounds(as_of)
+    return I.assign_steps(p, "end_time", lo, hi).select("id", "end_time", "step", "step_start", "step_end")

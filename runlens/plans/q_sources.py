@@ -83,3 +83,28 @@ def input_sizing(spark, sf_dir):
     metadata only: contents are not read).  No SQL oracle: file sizes are not
     visible to the SQL engine."""
     return S.input_size(spark, sf_dir, glob="*.parquet")
+
+
+@register(
+    "src_environment",
+    "SELECT app_id, attempt_id, count(*) AS n_property_pairs FROM props_v "
+    "WHERE (app_id, attempt_id) IN (SELECT (app_id, attempt_id) FROM runs_v WHERE host = 'host-2') GROUP BY ALL",
+)
+def src_environment(spark, sf_dir):
+    """Environment documents of the listed attempts (attempts of one host)."""
+    att = V.runs_v(spark, sf_dir).where(F.col("host") == "host-2")
+    env = V.env_v(spark, sf_dir)
+    return S.attempt_children(att, env).select(*K, F.size("sparkProperties").cast("bigint").alias("n_property_pairs"))
+
+
+@register(
+    "store_not_empty",
+    "SELECT host, coalesce(bool_or(processed), false) AS not_empty FROM polls_v GROUP BY host",
+)
+def store_not_empty(spark, sf_dir):
+    """Per store (host), whether it holds any document; computed as a
+    distributed count (``not_empty`` is the single-store driver check)."""
+    p = V.polls_v(spark, sf_dir).where("processed")
+    return V.polls_v(spark, sf_dir).select("host").distinct().join(
+        p.groupBy("host").agg((F.count(F.lit(1)) > 0).alias("not_empty")), "host", "left"
+    ).select("host", F.coalesce("not_empty", F.lit(False)).alias("not_empty"))

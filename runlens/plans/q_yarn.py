@@ -129,3 +129,10 @@ def yarn_scheduler_docs(spark, sf_dir):
         "snapshot_id", "time_processed", "doc_type", "partitionName", "capacity", "usedCapacity", "maxCapacity",
         "queueName", "used_memory", "used_vCores", "username", "numApplications",
     )
+
+
+@register("yarn_app_by_id", "SELECT id, name, state, finishedTime FROM yarn_v WHERE id IN ('application_y42', 'application_y4242')")
+def yarn_app_by_id(spark, sf_dir):
+    """One cluster-manager application by id (a filter over the whole table)."""
+    apps = V.yarn_v(spark, sf_dir)
+    return apps.where(F.col("id").isin("application_y42", "application_y4242")).select("id", "name", "state", "finishedTime")
