@@ -88,3 +88,12 @@ def test_typed_wide_equals_long(spark):
         assert abs(v - float(value)) < 1e-6, (name, v, value)
     nonnull = sum(1 for k, v in w.items() if k not in keys and v is not None)
     assert len(got) == nonnull
+
+
+def test_step_border_counted_once(spark):
+    # a run ending exactly on a step border belongs to the later step only
+    df = spark.createDataFrame([("a", 1, T(1), 1), ("b", 1, T(2), 2), ("c", 1, T(0), 3)], S)
+    steps = {r.id: r.step for r in I.assign_steps(df, "end_time", F.lit(T(0)), F.lit(T(2))).collect()}
+    assert steps == {"c": 0, "a": 1}  # T(2) is the (exclusive) window end
+    counts = I.assign_steps(df, "end_time", F.lit(T(0)), F.lit(T(3))).groupBy("step").count().collect()
+    assert sorted((r.step, r["count"]) for r in counts) == [(0, 1), (1, 1), (2, 1)]

@@ -100,3 +100,21 @@ def test_stream_high_watermarks_equal_batch(spark):
     got = {(r.host, r.high_watermark, r.n_runs) for r in spark.table("hw_test").collect()}
     want = {(r.host, r.m, r.n) for r in polls.groupBy("host").agg(F.max("end_time").alias("m"), F.count("*").alias("n")).collect()}
     assert got == want
+
+
+def test_late_run_inside_lookback_is_kept(spark):
+    import datetime as dt
+
+    work = tempfile.mkdtemp(prefix="runlens-late-")
+    schema = "id string, uid long, name string, end_time timestamp"
+    t0 = dt.datetime(2024, 1, 10)
+    first = spark.createDataFrame([("a", 1, "x", t0), ("b", 1, "x", t0 + dt.timedelta(hours=5))], schema)
+    # arrives later, completed 3 days before the newest run (inside the 168 h lookback),
+    # together with a repeat listing of 'a'
+    late = spark.createDataFrame([("c", 2, "x", t0 - dt.timedelta(days=3)), ("a", 1, "x", t0)], schema)
+    first.write.parquet(f"{work}/landing/1")
+    late.write.parquet(f"{work}/landing/2")
+    stream = R.listed_runs(spark, f"{work}/landing/*", first.schema, max_files=1)
+    q = R.start(R.new_runs(stream), f"{work}/ck", sink="parquet", path=f"{work}/out")
+    q.awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(f"{work}/out").collect()) == ["a", "b", "c"]
