@@ -265,7 +265,7 @@ def executor_aggregate(
             *exprs,
             F.max_by("__driver", "__driver_order").alias("driver"),
         )
-    order = [*keys, "executors_elements_count"] + [n for n, _ in specs]
+    out_order = [*keys, "executors_elements_count"] + [n for n, _ in specs]
     plain = aggregate_exprs(executors.schema, exclude=skip, type_aggs=_without_nunique(type_aggs), prefix="executors_")
     aggregated = masked.groupBy(*keys).agg(
         F.count_if(~F.col("__is_driver")).alias("executors_elements_count"),
@@ -274,4 +274,4 @@ def executor_aggregate(
     )
     num_cols = [f.name for f in executors.schema.fields if f.name not in skip and isinstance(f.dataType, T.NumericType)]
     others = executors.where(~is_driver).select(*keys, *[F.col(f"`{c}`") for c in num_cols])
-    return _with_exact_nunique(aggregated, others, keys, num_cols, "executors_", [*order, "driver"])
+    return _with_exact_nunique(aggregated, others, keys, num_cols, "executors_", [*out_order, "driver"])
