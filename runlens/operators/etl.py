@@ -210,7 +210,8 @@ def checkpoint_controls(checkpoints: DataFrame, run_col: str = "run_id", pos_col
     first failure's checkpoint name, kind, control name/value and reference
     value.
     """
-    n = F.coalesce(F.size(controls_col), F.lit(0))
+    # size(NULL) is NULL under ANSI mode and -1 without it: test for NULL first
+    n = F.when(F.col(controls_col).isNull(), F.lit(0)).otherwise(F.size(controls_col))
     cp = checkpoints.select(
         F.col(run_col).alias("__run"), F.col(pos_col).alias("__pos"), remove_blanks(F.col(name_col)).alias("__name"),
         n.alias("__n"), F.col(controls_col).alias("__controls"),
@@ -222,7 +223,9 @@ def checkpoint_controls(checkpoints: DataFrame, run_col: str = "run_id", pos_col
         F.min_by("__controls", ref_order).alias("__ref"),
     ).withColumn(
         "num_controls",
-        F.coalesce(F.size(F.array_distinct(F.transform("__ref", lambda r: r["controlName"]))), F.lit(0)).cast("bigint"),
+        F.when(F.col("__ref").isNull(), F.lit(0))
+        .otherwise(F.size(F.array_distinct(F.transform("__ref", lambda r: r["controlName"]))))
+        .cast("bigint"),
     )
 
     def ref_value(c: Column) -> Column:

@@ -203,7 +203,8 @@ def props_typed(spark, sf_dir):
         t["spark_network_timeout"].alias("network_timeout_ms"),
         t["spark_executor_memoryOverhead"].alias("executor_memory_overhead"),
         t["spark_yarn_scheduler_heartbeat_interval-ms"].alias("heartbeat_ms"),
-        F.size(P.untyped_properties(F.col("sparkProperties"))).alias("n_untyped"),
+        F.when(F.col("sparkProperties").isNotNull(), F.size(P.untyped_properties(F.col("sparkProperties"))))
+        .alias("n_untyped"),
     )
 
 
@@ -325,7 +326,8 @@ def merge_app_doc(spark, sf_dir):
     """Attempt joined with its executors, stages and environment on
     (app_id, attempt_id), a missing attempt id meaning '0'."""
     runs, ex, st = V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir)
-    env = V.env_v(spark, sf_dir).select(*K, F.size("sparkProperties").cast("bigint").alias("n_property_pairs"))
+    env = V.env_v(spark, sf_dir).select(*K, F.when(F.col("sparkProperties").isNotNull(), F.size("sparkProperties")).cast("bigint")
+                                             .alias("n_property_pairs"))
     m = P.merge_app_doc(runs.select(*K, "name"), ex, st, env, nested=False, stage_status="COMPLETE")
     return m.select(*K, "name", "n_executors", "n_stages", F.col("n_status_stages").alias("n_complete_stages"),
                     "n_property_pairs")

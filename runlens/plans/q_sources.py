@@ -28,7 +28,8 @@ def src_apps_filtered(spark, sf_dir):
     """Completed applications with an attempt started from 1995 and ended by 1996."""
     apps = S.list_apps(V.apps_v(spark, sf_dir), status="completed", min_date="1995-01-01 00:00:00",
                        max_end_date="1996-12-31 23:59:59")
-    return apps.select("id", "name", F.size("attempts").cast("bigint").alias("n_attempts"))
+    return apps.select("id", "name", F.when(F.col("attempts").isNotNull(), F.size("attempts")).cast("bigint")
+                       .alias("n_attempts"))
 
 
 @register(
@@ -94,7 +95,8 @@ def src_environment(spark, sf_dir):
     """Environment documents of the listed attempts (attempts of one host)."""
     att = V.runs_v(spark, sf_dir).where(F.col("host") == "host-2")
     env = V.env_v(spark, sf_dir)
-    return S.attempt_children(att, env).select(*K, F.size("sparkProperties").cast("bigint").alias("n_property_pairs"))
+    return S.attempt_children(att, env).select(*K, F.when(F.col("sparkProperties").isNotNull(), F.size("sparkProperties")).cast("bigint")
+                                                 .alias("n_property_pairs"))
 
 
 @register(
