@@ -28,12 +28,17 @@ def round4(c):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Round every top-level DOUBLE column (for cross-engine comparison)."""
+    """Round every top-level DOUBLE column (for cross-engine comparison) and
+    give timestamps as TIMESTAMP_NTZ: the UTC wall-clock value (the session
+    zone is UTC), which is collected without conversion to the client's
+    local zone and compares with zone-less timestamps elsewhere."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = round4(c.cast("double"))
+        elif isinstance(f.dataType, T.TimestampType):
+            c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
