@@ -331,3 +331,19 @@ def merge_app_doc(spark, sf_dir):
     m = P.merge_app_doc(runs.select(*K, "name"), ex, st, env, nested=False, stage_status="COMPLETE")
     return m.select(*K, "name", "n_executors", "n_stages", F.col("n_status_stages").alias("n_complete_stages"),
                     "n_property_pairs")
+
+
+@register(
+    "stamp_meta",
+    """SELECT app_id, TIMESTAMP '2024-02-01 00:00:00' AS time_processed,
+  'hist-' || substr(host, 6) || '.example.org' AS history_host
+FROM runs_v""",
+)
+def q_stamp_meta(spark, sf_dir):
+    """Processing stamp: the processing time (a parameter) and the
+    history server host taken from its URL."""
+    r = V.runs_v(spark, sf_dir)
+    url = F.concat(F.lit("http://hist-"), F.substring_index("host", "-", -1), F.lit(".example.org:18080/api/v1"))
+    s = P.stamp_meta(r.select("app_id", url.alias("url")), F.lit("2024-02-01 00:00:00"), "url")
+    return s.select("app_id", F.col("meta.time_processed").alias("time_processed"),
+                    F.col("meta.history_host").alias("history_host"))

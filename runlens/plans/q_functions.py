@@ -235,3 +235,9 @@ def fn_input_path(spark, sf_dir):
     t = _t(spark, sf_dir)
     base = F.concat(F.lit("/data/ds_"), (F.col("id") % 97).cast("string"))
     return t.select("id", fn.input_path(base, "info_date_text", F.col("id") % 3 + 1).alias("path"))
+
+
+@register("fn_info_date_str", "SELECT id, 'str:' || info_date_text AS info_date_str FROM texts_v")
+def fn_info_date_str(spark, sf_dir):
+    """information date kept as text with the 'str:' prefix."""
+    return _t(spark, sf_dir).select("id", fn.info_date_str("info_date_text").alias("info_date_str"))
