@@ -45,7 +45,17 @@ def _app_id(key: Column) -> Column:
 
 
 def run_name(orderkey: Column, custkey: Column, orderdate: Column, priority: Column) -> Column:
-    """Application name in the naming styles the classifiers handle."""
+    """Application name in the naming styles the classifiers handle, built
+    from seven word slots (NULL slots are skipped) so each shared part
+    appears in few places of the expression:
+
+    * key % 20 = 19: old standardization (6 words)
+    * key % 20 = 18: old conformance (7 words)
+    * key % 20 = 17: not an ETL name
+    * key % 20 = 16: new style with too few words
+    * otherwise: new style, 7 words
+    """
+    b = orderkey % 20
     app_version = F.concat(F.lit("2."), (custkey % 5).cast("string"), F.lit(".0"))
     dataset = F.concat(F.lit("ds_"), custkey.cast("string"))
     ds_version = (orderkey % 4).cast("string")
@@ -57,18 +67,21 @@ def run_name(orderkey: Column, custkey: Column, orderdate: Column, priority: Col
         .when(orderkey % 3 == 1, F.lit("Conformance"))
         .otherwise(F.lit("Standardization&Conformance"))
     )
-    new_style = F.concat_ws(" ", F.lit("Enceladus"), etl_type, app_version, dataset, ds_version, info_date, F.lit("1"))
-    old_std = F.concat_ws(" ", F.lit("Standardisation"), app_version, dataset, ds_version, info_date, F.lit("1"))
-    old_conf = F.concat_ws(" ", F.lit("Dynamic Conformance"), app_version, dataset, ds_version, info_date, F.lit("1"))
     other = F.concat(F.lit("Daily_report-"), priority, F.lit(" run."), (custkey % 13).cast("string"))
-    bucket = orderkey % 20
-    return (
-        F.when(bucket == 19, old_std)
-        .when(bucket == 18, old_conf)
-        .when(bucket == 17, other)
-        .when(bucket == 16, F.concat_ws(" ", F.lit("Enceladus"), etl_type, app_version))
-        .otherwise(new_style)
-    )
+    old = b.isin(18, 19)
+    no_tail = b.isin(16, 17)
+    none = F.lit(None).cast("string")
+    slots = [
+        F.when(b == 19, F.lit("Standardisation")).when(b == 18, F.lit("Dynamic Conformance"))
+        .when(b == 17, other).otherwise(F.lit("Enceladus")),
+        F.when(old, app_version).when(b == 17, none).otherwise(etl_type),
+        F.when(old, dataset).when(b == 17, none).otherwise(app_version),
+        F.when(old, ds_version).when(no_tail, none).otherwise(dataset),
+        F.when(old, info_date).when(no_tail, none).otherwise(ds_version),
+        F.when(old, F.lit("1")).when(no_tail, none).otherwise(info_date),
+        F.when(old | no_tail, none).otherwise(F.lit("1")),
+    ]
+    return F.concat_ws(" ", *slots)
 
 
 def runs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
