@@ -148,7 +148,7 @@ def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
 
-def post_metrics(df: DataFrame, type_col: str = "type", in_mem: str = "stages_inputBytes_max",
+def post_metrics(df: DataFrame, type_col: Column | str = "type", in_mem: str = "stages_inputBytes_max",
                  out_mem: str = "stages_outputBytes_max", peak: str = "est_peak_memory_usage",
                  info_col: str = INFO) -> DataFrame:
     """M9: storage/memory factors of an ETL attempt joined with its run.
@@ -158,7 +158,7 @@ def post_metrics(df: DataFrame, type_col: str = "type", in_mem: str = "stages_in
     (NULL struct) without stage sizes, without the run's info, or for an
     unknown type.
     """
-    t = F.col(type_col)
+    t = type_col if isinstance(type_col, Column) else F.col(type_col)
 
     def pick(side: int) -> Column:
         expr = None
