@@ -22,9 +22,10 @@ The same derivations exist as DuckDB SQL in ``runlens.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.operators.intervals import bucketed_row_number
 from runlens.session import apply_defaults
 
 
@@ -412,7 +413,10 @@ def checkpoints_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate",
     ]
-    pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order_cols))
+    # row_number over (partition by order, sorted by all columns), numbered
+    # per (order, line number) bucket plus earlier buckets' counts
+    j = bucketed_row_number(j, ["l_orderkey"], F.col("l_linenumber"), [F.col(c) for c in order_cols], "__pos")
+    pos = F.col("__pos")
     ln = F.col("l_linenumber")
     ctl = lambda n, v: F.struct(F.lit(n).alias("controlName"), v.cast("string").alias("controlValue"))
     rc = ctl("recordcount", F.col("o_custkey"))
