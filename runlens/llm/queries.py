@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import radix, rlz
+from runlens.llm import posindex, radix, rlz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +77,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of ``documents`` outside 100-byte strings that start earlier."""
     out = radix.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@register("op5_decontamination", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS p
+       FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS u(i) WHERE len(w) > 0),
+size AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS p
+       FROM d, size, unnest(range(1, len(w) - n + 2)) AS u(i) WHERE len(w) >= n),
+hit AS (SELECT doc_id, item_id, n, i FROM dw JOIN bw USING (n, p)),
+pos AS (SELECT DISTINCT doc_id, i + k AS pos FROM hit, unnest(range(0, n)) AS v(k)),
+cov AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN ids USING (doc_id)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` inside occurrences of ``benchmark`` windows of 10 words."""
+    out = posindex.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
