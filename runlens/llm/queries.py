@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import posindex, radix, rlz
+from runlens.llm import maglev, posindex, radix, rlz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -105,3 +105,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items",
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+@register("op10_sharding", f"""
+WITH t AS (SELECT string_split('{",".join(map(str, maglev.fill(SHARDS)))}', ',') AS slots)
+SELECT doc_id, slot, 'shard-' || lpad(slots[slot + 1], 3, '0') AS shard
+FROM (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % {maglev.SIZE} AS INTEGER) AS slot
+      FROM documents), t
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document among 64, by a lookup table of 65,537 slots."""
+    return maglev.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
