@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, maglev, posindex, radix, riskrules, rlz
+from runlens.llm import chat, langid, maglev, posindex, radix, riskrules, rlz, tokscan, vecpack, vocab
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,3 +149,32 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
     return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+
+
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of ``documents``; a quarter is not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+@register("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files made of ``documents``."""
+    return tokscan.count_tokens(table(spark, sf_dir, "documents"), vocab.public_path(TOKENIZER), end_id=49_407)
+
+
+@register("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of ``documents`` in sequences of at most 4,096 tokens."""
+    out = vecpack.pack_documents(table(spark, sf_dir, "documents"), vocab.public_path(TOKENIZER), end_id=2)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
