@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, langid, maglev, posindex, radix, riskrules, rlz, tokscan, vecpack, vocab
+from runlens.llm import chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, tokscan, vecpack, vocab
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -178,3 +178,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of ``documents`` in sequences of at most 4,096 tokens."""
     out = vecpack.pack_documents(table(spark, sf_dir, "documents"), vocab.public_path(TOKENIZER), end_id=2)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register("op3_ngram_join", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+      FROM d, unnest(range(1, greatest(len(w) - 2, 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+r AS (SELECT x AS doc_id, x AS low FROM e UNION SELECT e.x, r.low FROM e JOIN r ON e.y = r.doc_id WHERE r.low < e.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(min(low), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id, n.n
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of ``documents`` linked by 4-word shingles at a similarity of 0.85."""
+    return sigtree.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
