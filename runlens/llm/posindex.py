@@ -117,7 +117,8 @@ def phrase_matches(post: DataFrame, anchors: DataFrame, n_anchors: int) -> DataF
     second = F.get("around", start + F.col("second.offset"))
     near = (post.join(small(anchors, n_anchors), "term").where(start >= 0)
             .where(F.col("second").isNull() | (second == F.col("second.term"))))
-    exact = near.where(F.slice("around", start + 1, F.size("words")) == F.col("words"))
+    # (the bound again: conditions may be evaluated in any order)
+    exact = near.where(F.slice("around", F.greatest(start + 1, F.lit(1)), F.size("words")) == F.col("words"))
     return exact.select("__row", (F.col("pos") - F.col("offset")).alias("at"), "words", "ids")
 
 
