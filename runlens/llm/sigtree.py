@@ -1,25 +1,29 @@
 """N-gram Jaccard self-join with signature trees.
 
-Documents are sets of word shingles.  Equal sets are one class.  Classes
-that could be linked share a shingle among their rarest ones (each class
-shows the ``n - ceil(t n) + 1`` first of its shingles in one global order;
-two sets with similarity t or more share one of these), so the connected
-groups of "shares a shown shingle" hold every link.  Inside a group a
-signature tree is built: leaves hold classes of similar size, every node the
-OR of its members' token bitmaps, the smallest and largest set size and the
-smallest bitmap count.  A dual traversal goes down pairs of nodes and drops
-a pair as soon as the largest overlap that bitmaps and sizes allow is too
-small, or both nodes already belong to one component; pairs of classes that
-remain are compared exactly.
-
-The order puts shingles that many documents hold last (a bounded list of the
-``FREQUENT`` most frequent, found in passing, is broadcast; any order gives
-right results, this one keeps shared passages from joining groups).  Each
-scan part links its own classes and sends one class per shingle to the block
-that owns the shingle, so a hot shingle costs one entry per part.  A group
+Documents are sets of word shingles.  Equal sets are one class.  Sets with
+similarity t differ in at most D = (1 - t) / (1 + t) of their sizes' sum; cut
+the hash range into more than D segments and at least one segment holds the
+same shingles in both.  Every class therefore shows a print of each of its
+segments (the number of segments follows from the size's range, and a class
+shows those of its own and of the next range, where larger partners are),
+and the connected groups of "shows a common print" hold every link.  A print
+covers about six shingles, so documents that merely share a passage seldom
+meet.
+
+Inside a group a signature tree is built: leaves hold classes of similar
+size, every node the OR of its members' token bitmaps, the smallest and
+largest set size and the smallest bitmap count.  A dual traversal goes down
+pairs of nodes and drops a pair as soon as the largest overlap that bitmaps
+and sizes allow is too small, or both nodes already belong to one component;
+pairs of classes that remain are compared exactly.
+
+Each scan part links its own classes and sends one class per print to the
+block that owns the print, so a hot print costs one entry per part.  A group
 of more than ``GROUP_SHINGLES`` is cut into blocks by hash, and each pair of
 blocks is a task of its own; no group meets in one task.  Such a group costs
-the square of its number of blocks, less what the trees prune.
+the square of its number of blocks, less what the trees prune.  Texts of the
+classes in groups are fetched by a broadcast of their ids where a count (made
+first) shows at most ``BROADCAST_ROWS`` of them, by shuffle beyond.
 
 Cases: A-Z are lower-cased; null or empty text has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle; rows with
@@ -43,17 +47,16 @@ from runlens.llm import components
 from runlens.llm import textops as T
 from runlens.llm.store import saved
 
-PART = 4 << 20
-FREQUENT = 50_000
-OFTEN = 3
-GROUP_SHINGLES = 2_000_000
+PART, PART_ROWS, HASH_BITS = 2 << 20, 4096, 52
+BROADCAST_ROWS = 200_000
+GROUP_SHINGLES = 300_000
 LEAF, FANOUT = 16, 8
 EMPTY = np.zeros(0, np.int64)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of every row, as (hash, row) ordered by row,
-    then hash."""
+    """Distinct shingle hashes (52 bits) of every row (4,096 at most), as
+    (hash, row) ordered by row, then hash."""
     data = T.LOWER[data]
     starts, ends, row = T.words(data, offsets)
     if len(starts) == 0:
@@ -64,11 +67,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
     first = np.cumsum(count) - count
     at, of = T.spread(first, np.where(count >= size, count - size + 1, np.minimum(count, 1)), np.arange(n))
     h = rolling.spans(at, at + np.minimum(size, count[of]))
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    return h[new], of[new]
+    # row and hash in one number: one plain sort
+    key = np.sort((of.astype(T.U64) << T.U64(HASH_BITS)) | (h >> T.U64(64 - HASH_BITS)))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    key = key[new]
+    return key & T.U64((1 << HASH_BITS) - 1), (key >> T.U64(HASH_BITS)).astype(np.int64)
 
 
 def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,70 +88,99 @@ def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _describe(text_col: str, size: int):
-    """Pass 1: every row's set size and print; per part, shingles that several
-    of its classes hold."""
+    """Every row's set size and print."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in T.parts(batch.column(text_col), PART):
+            for first, data, offsets in T.parts(batch.column(text_col), PART, PART_ROWS):
                 n = len(offsets) - 1
-                h, of = shingle_sets(data, offsets, size)
-                count, one, two = _prints(h, of, n)
-                _, rep = np.unique(one, return_index=True)
-                keep = np.zeros(n, bool)
-                keep[rep] = True
-                tokens, hits = np.unique(h[keep[of]], return_counts=True)
-                often = hits >= OFTEN
-                m = int(often.sum())
-                none, void = [None] * m, [None] * n
-                yield pa.record_batch({
-                    B.ORDER: pa.array(batch.column(B.ORDER)[first:first + n].to_pylist() + none, pa.int64()),
-                    "n": pa.array(count.tolist() + none, pa.int64()), "one": pa.array(one.tolist() + none, pa.int64()),
-                    "two": pa.array(two.tolist() + none, pa.int64()),
-                    "token": pa.array(void + tokens[often].view(np.int64).tolist(), pa.int64()),
-                    "hits": pa.array(void + hits[often].tolist(), pa.int64())})
+                count, one, two = _prints(*shingle_sets(data, offsets, size), n)
+                yield pa.record_batch({B.ORDER: batch.column(B.ORDER).slice(first, n), "n": pa.array(count, pa.int64()),
+                                       "one": pa.array(one), "two": pa.array(two)})
 
     return run
 
 
-def _show(text_col: str, size: int, percent: int, frequent: np.ndarray, rank: np.ndarray, blocks: int):
-    """Pass 2: each class's first shingles; links within the part, and one
-    class per shingle for the block that owns it."""
+class Segments:
+    """How many segments the sets of each range of sizes show.
+
+    Range k starts at ``low[k]``; a set's partners are in its own range or
+    the next.  ``count[k]`` segments serve pairs whose larger set is in range
+    k: more than the shingles in which two such sets can differ, and
+    ``spare[k]`` beyond, so that a set with no more empty segments than that
+    shares one that is not empty."""
+
+    def __init__(self, percent: int):
+        low = [1]
+        while low[-1] < 1 << 31:
+            low.append(100 * low[-1] // percent + 1)
+        self.low = np.array(low, dtype=np.int64)
+        differ = 2 * (self.low[1:] - 1) * (100 - percent) // (100 + percent)
+        self.spare = 2 + differ // 64
+        # sets of a range in which no two may differ have no partner
+        self.count = np.where(differ > 0, differ + 1 + self.spare, 0)
+
+    def show(self, h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(print, row) of the segments of sets ordered by row, then hash."""
+        size = np.bincount(of, minlength=n)
+        keys, rows = [], []
+        value = T.mix(h)
+        for step in (0, 1):
+            k = np.searchsorted(self.low, np.maximum(size, 1), "right") - 1 + step
+            many, spare = self.count[k], self.spare[k]
+            mine = many[of] > 0
+            # the upper 32 bits of the hash, scaled: ordered as the hashes are
+            seg = ((h[mine] >> T.U64(HASH_BITS - 32)) * many[of[mine]].astype(T.U64)) >> T.U64(32)
+            row = of[mine]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (seg[1:] != seg[:-1])
+            head = np.flatnonzero(new)
+            if len(head) == 0:
+                continue
+            seg, row = seg[head], row[head]
+            scheme = (k[row].astype(T.U64) << T.U64(40)) | seg
+            keys.append(T.mix(np.add.reduceat(value[mine], head) + T.mix(scheme)))
+            rows.append(row)
+            # too many empty segments to leave them out
+            full = np.bincount(row, minlength=n)
+            for r in np.flatnonzero((full > 0) & (many - full > spare)).tolist():
+                gap = np.setdiff1d(np.arange(many[r]), seg[row == r].astype(np.int64)).astype(T.U64)
+                keys.append(T.mix(T.mix((T.U64(int(k[r])) << T.U64(40)) | gap)))
+                rows.append(np.full(len(gap), r, np.int64))
+        if not keys:
+            return np.zeros(0, T.U64), EMPTY
+        return np.concatenate(keys), np.concatenate(rows)
+
+
+def _show(text_col: str, size: int, percent: int, blocks: int):
+    """Links of the part's classes that show a common print, and one class per
+    print for the block that owns it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments = Segments(percent)
         for batch in batches:
-            for _, data, offsets in T.parts(batch.column(text_col), PART):
+            for _, data, offsets in T.parts(batch.column(text_col), PART, PART_ROWS):
                 h, of = shingle_sets(data, offsets, size)
                 n = len(offsets) - 1
-                count, one, _ = _prints(h, of, n)
+                _, one, _ = _prints(h, of, n)
                 _, rep = np.unique(one, return_index=True)
                 keep = np.zeros(n, bool)
                 keep[rep] = True
-                h, of = h[keep[of]], of[keep[of]]
-                late = np.zeros(len(h), np.int64)
-                if len(frequent):
-                    spot = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-                    late = np.where(frequent[spot] == h, rank[spot], 0)
-                order = np.lexsort((h, late, of))
-                h, of = h[order], of[order]
-                count = np.where(keep, count, 0)
-                place = np.arange(len(h)) - (np.cumsum(count) - count)[of]
-                # n - ceil(percent n / 100) + 1
-                shown = place < (count - (percent * count + 99) // 100 + 1)[of]
-                h, cls = h[shown], one[of[shown]]
-                order = np.lexsort((cls, h))
-                h, cls = h[order], cls[order]
-                new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
-                head = cls[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else cls
+                mine = keep[of]
+                keys, rows = segments.show(h[mine], of[mine], n)
+                cls = one[rows]
+                order = np.argsort(keys)
+                keys, cls = keys[order], cls[order]
+                new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+                head = cls[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else cls
                 far = head != cls
                 nodes, roots = components.local(head[far], cls[far])
-                out = B.deal(h[new], 0, {"tokens": h[new], "classes": cls[new]}, blocks).drop_columns([B.CHUNK])
-                out = out.append_column("left", pa.nulls(out.num_rows, pa.binary())).append_column(
-                    "right", pa.nulls(out.num_rows, pa.binary()))
-                yield from out.to_batches()
+                out = B.deal(keys[new], 0, {"prints": keys[new], "classes": cls[new]}, blocks).drop_columns([B.CHUNK])
+                none = pa.nulls(out.num_rows, pa.binary())
+                yield from out.append_column("left", none).append_column("right", none).to_batches()
                 if len(nodes):
                     yield pa.record_batch({
-                        "block": pa.array([int(nodes[0]) % blocks], pa.int64()), "tokens": pa.array([b""], pa.binary()),
+                        "block": pa.array([int(nodes[0]) % blocks], pa.int64()), "prints": pa.array([b""], pa.binary()),
                         "classes": pa.array([b""], pa.binary()), "left": pa.array([roots.tobytes()], pa.binary()),
                         "right": pa.array([nodes.tobytes()], pa.binary())})
 
@@ -155,8 +188,8 @@ def _show(text_col: str, size: int, percent: int, frequent: np.ndarray, rank: np
 
 
 def _link(table: pa.Table) -> pa.Table:
-    """Block step: classes that show a common shingle, as a spanning forest."""
-    h, cls = B.gathered(table, "tokens", T.U64), B.gathered(table, "classes", np.int64)
+    """Block step: classes that show a common print, as a spanning forest."""
+    h, cls = B.gathered(table, "prints", T.U64), B.gathered(table, "classes", np.int64)
     order = np.lexsort((cls, h))
     h, cls = h[order], cls[order]
     new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
@@ -173,7 +206,7 @@ def _sets(id_col: str, text_col: str, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in T.parts(batch.column(text_col), PART):
+            for first, data, offsets in T.parts(batch.column(text_col), PART, PART_ROWS):
                 n = len(offsets) - 1
                 h, of = shingle_sets(data, offsets, size)
                 count, one, two = _prints(h, of, n)
@@ -238,7 +271,7 @@ def traverse(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarr
         return label
     wide = max(len(s) for s in sets)
     bits = 1 << min(15, max(8, int(2 * wide - 1).bit_length()))
-    order = np.lexsort((np.array([int(s[0] >> T.U64(1)) if len(s) else 0 for s in sets]), [len(s) for s in sets]))
+    order = np.lexsort((np.array([int(s[0]) if len(s) else 0 for s in sets]), [len(s) for s in sets]))
     groups = [order[side[order] == k] for k in (0, 1)]
     groups = [g for g in groups if len(g)]
     trees = [SignatureTree([sets[i] for i in g], bits) for g in groups]
@@ -307,18 +340,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     similarity ``percent`` / 100 or more)."""
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, text_col)
-    described = saved(texts.mapInArrow(_describe(text_col, size),
-                                       f"{B.ORDER} long, n long, one long, two long, token long, hits long"))
-    top = (described.where("token is not null").groupBy("token").agg(F.sum("hits").alias("hits"))
-           .orderBy(F.desc("hits"), "token").limit(FREQUENT).collect())
-    # the most frequent comes last
-    tokens = np.array([r.token for r in top], dtype=np.int64).view(T.U64)
-    by_token = np.argsort(tokens)
-    rank = (len(top) - np.arange(len(top)))[by_token]
-    prints = described.where("token is null").drop("token", "hits")
+    prints = saved(texts.mapInArrow(_describe(text_col, size), f"{B.ORDER} long, n long, one long, two long"))
     blocks = B.layout(B.text_bytes(docs, text_col))
-    shown = texts.mapInArrow(_show(text_col, size, percent, tokens[by_token], rank, blocks),
-                             "block long, tokens binary, classes binary, left binary, right binary")
+    shown = texts.mapInArrow(_show(text_col, size, percent, blocks),
+                             "block long, prints binary, classes binary, left binary, right binary")
     together = components.smallest(shown.groupBy("block").applyInArrow(_link, "left long, right long"))
     member = together.select(F.col("node").alias("one"), F.col("root").alias("cluster"))
     member = member.unionByName(together.select(F.col("root").alias("one"), F.col("root").alias("cluster")).distinct())
@@ -338,6 +363,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(tasks)))
                      .otherwise(F.xxhash64("cluster", "pair")).alias("task"),
                      F.when((F.col("own") == F.col("pair.j")) & (F.col("pair.i") < F.col("pair.j")), 1).otherwise(0).alias("side")))
+    if dealt.count() <= BROADCAST_ROWS:
+        dealt = F.broadcast(dealt)
     sets = (texts.join(dealt, B.ORDER).select("task", "side", "cluster", "one", "two", B.ORDER, text_col)
             .mapInArrow(_sets(id_col, text_col, size), "task long, side int, cluster long, rep long, n long, set binary"))
     links = sets.groupBy("task").applyInArrow(_compare(percent), "left long, right long")

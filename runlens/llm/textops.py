@@ -34,20 +34,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i < n (cached, grown by doubling)."""
-    size = 1 << max(10, int(n).bit_length())
-    if size not in _powers:
-        _powers.clear()
+    """BASE**i and BASE**-i for i < n (kept, and grown by doubling)."""
+    if not _powers or len(_powers[0]) < n:
+        size = 1 << max(16, int(n).bit_length())
         up = np.full(size, BASE, dtype=U64)
         down = np.full(size, BASE_INV, dtype=U64)
         up[0] = down[0] = 1
-        _powers[size] = (np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64))
-    up, down = _powers[size]
-    return up[:n], down[:n]
+        _powers[:] = [np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)]
+    return _powers[0][:n], _powers[1][:n]
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -64,14 +62,14 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def parts(column, limit: int = 2 << 20):
-    """Split rows into runs of about ``limit`` bytes (one longer row stays
-    whole): yields (first row, flat bytes, offsets)."""
+def parts(column, limit: int = 2 << 20, rows: int = 1 << 16):
+    """Split into runs of about ``limit`` bytes and at most ``rows`` rows (one
+    longer row stays whole): yields (first row, flat bytes, offsets)."""
     data, offsets = utf8(column)
     n, first = len(offsets) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        last = min(last, n)
+        last = min(last, first + rows, n)
         yield first, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
 
