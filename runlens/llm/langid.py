@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from runlens.llm.vocab import batches_of
 
 SAMPLE = 20_000
-UNITS = 60_000
+UNITS = 30_000
 LONGEST = 4
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")

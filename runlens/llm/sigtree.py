@@ -6,9 +6,12 @@ the hash range into more than D segments and at least one segment holds the
 same shingles in both.  Every class therefore shows a print of each of its
 segments (the number of segments follows from the size's range, and a class
 shows those of its own and of the next range, where larger partners are),
-and the connected groups of "shows a common print" hold every link.  A print
-covers about six shingles, so documents that merely share a passage seldom
-meet.
+and the connected groups of "shows a common print" hold every link.
+Shingles that several scan parts hold are left out of the prints (any fixed
+set of shingles may be: what is left of two linked sets differs no more), so
+documents that merely share a passage do not meet; classes with little else
+show full prints too.  Which shingles those are is one bitmap of ``COMMON``
+bits, made from a count of all shingles and sent to every task.
 
 Inside a group a signature tree is built: leaves hold classes of similar
 size, every node the OR of its members' token bitmaps, the smallest and
@@ -49,6 +52,9 @@ from runlens.llm.store import saved
 
 PART, PART_ROWS, HASH_BITS = 2 << 20, 4096, 52
 BROADCAST_ROWS = 200_000
+# shingles held by so many parts are common; of them, the bitmap (8 MB) takes
+# the most frequent ``COMMON_MOST`` at most
+COMMON_PARTS, COMMON, COMMON_MOST = 3, 1 << 26, 4_000_000
 GROUP_SHINGLES = 300_000
 LEAF, FANOUT = 16, 8
 EMPTY = np.zeros(0, np.int64)
@@ -87,20 +93,57 @@ def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
     return size, T.mix(one).view(np.int64), T.mix(two).view(np.int64)
 
 
-def _describe(text_col: str, size: int):
-    """Every row's set size and print."""
+def _describe(text_col: str, size: int, blocks: int):
+    """Every row's set size and print; for the blocks, the shingles of each
+    part (32 bits of them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in T.parts(batch.column(text_col), PART, PART_ROWS):
+                h, of = shingle_sets(data, offsets, size)
                 n = len(offsets) - 1
-                count, one, two = _prints(*shingle_sets(data, offsets, size), n)
-                yield pa.record_batch({B.ORDER: batch.column(B.ORDER).slice(first, n), "n": pa.array(count, pa.int64()),
+                count, one, two = _prints(h, of, n)
+                own = pa.record_batch({B.ORDER: batch.column(B.ORDER).slice(first, n), "n": pa.array(count, pa.int64()),
                                        "one": pa.array(one), "two": pa.array(two)})
+                for name, kind in (("block", pa.int64()), ("tokens", pa.binary())):
+                    own = own.append_column(name, pa.nulls(n, kind))
+                yield own
+                short = np.unique((h >> T.U64(HASH_BITS - 32)).astype(np.uint32))
+                dealt = B.deal(short.astype(T.U64) << T.U64(17), 0, {"tokens": short}, blocks)
+                none = pa.nulls(dealt.num_rows, pa.int64())
+                yield from pa.table({B.ORDER: none, "n": none, "one": none, "two": none, "block": dealt.column("block"),
+                                     "tokens": dealt.column("tokens")}).to_batches()
+
+    return run
+
+
+def _common(most: int):
+    """Block step: tokens of several parts, the most frequent ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tokens = np.sort(B.gathered(table, "tokens", np.uint32))
+        head = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else EMPTY
+        hits = np.diff(np.append(head, len(tokens)))
+        often = np.flatnonzero(hits >= COMMON_PARTS)
+        often = often[np.argsort(-hits[often], kind="stable")[:most]]
+        return pa.table({"tokens": pa.array([tokens[head[often]].tobytes()], pa.binary())})
 
     return run
 
 
+def common_bits(found: list[bytes]) -> np.ndarray:
+    bits = np.zeros(COMMON // 8, np.uint8)
+    for raw in found:
+        at = np.frombuffer(raw, np.uint32) & np.uint32(COMMON - 1)
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return bits
+
+
+def is_common(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = (h >> T.U64(HASH_BITS - 32)) & T.U64(COMMON - 1)
+    return (bits[(at >> T.U64(3)).astype(np.int64)] >> (at & T.U64(7)).astype(np.uint8)) & 1 > 0
+
+
 class Segments:
     """How many segments the sets of each range of sizes show.
 
@@ -116,43 +159,61 @@ class Segments:
             low.append(100 * low[-1] // percent + 1)
         self.low = np.array(low, dtype=np.int64)
         differ = 2 * (self.low[1:] - 1) * (100 - percent) // (100 + percent)
-        self.spare = 2 + differ // 64
+        self.spare = 2 + differ // 8
         # sets of a range in which no two may differ have no partner
         self.count = np.where(differ > 0, differ + 1 + self.spare, 0)
 
-    def show(self, h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def show(self, h: np.ndarray, of: np.ndarray, n: int, bits: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(print, row) of the segments of sets ordered by row, then hash."""
         size = np.bincount(of, minlength=n)
         keys, rows = [], []
-        value = T.mix(h)
+        rare = ~is_common(h, bits) if bits is not None else np.ones(len(h), bool)
+        short = np.zeros(n, bool)  # rows with too little left beside common shingles
         for step in (0, 1):
             k = np.searchsorted(self.low, np.maximum(size, 1), "right") - 1 + step
             many, spare = self.count[k], self.spare[k]
-            mine = many[of] > 0
-            # the upper 32 bits of the hash, scaled: ordered as the hashes are
-            seg = ((h[mine] >> T.U64(HASH_BITS - 32)) * many[of[mine]].astype(T.U64)) >> T.U64(32)
-            row = of[mine]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (seg[1:] != seg[:-1])
-            head = np.flatnonzero(new)
-            if len(head) == 0:
-                continue
-            seg, row = seg[head], row[head]
-            scheme = (k[row].astype(T.U64) << T.U64(40)) | seg
-            keys.append(T.mix(np.add.reduceat(value[mine], head) + T.mix(scheme)))
+            key, row, full = self._prints(h[rare], of[rare], k, many, n, 0)
+            keys.append(key)
+            rows.append(row)
+            short |= (size > 0) & (many > 0) & (many - full > spare)
+        # a pair of such rows meets in the prints of all shingles
+        mine = short[of]
+        for step in (0, 1) if short.any() else ():
+            k = np.searchsorted(self.low, np.maximum(size, 1), "right") - 1 + step
+            many, spare = self.count[k], self.spare[k]
+            key, row, full = self._prints(h[mine], of[mine], k, many, n, 1)
+            keys.append(key)
             rows.append(row)
             # too many empty segments to leave them out
-            full = np.bincount(row, minlength=n)
-            for r in np.flatnonzero((full > 0) & (many - full > spare)).tolist():
-                gap = np.setdiff1d(np.arange(many[r]), seg[row == r].astype(np.int64)).astype(T.U64)
-                keys.append(T.mix(T.mix((T.U64(int(k[r])) << T.U64(40)) | gap)))
+            for r in np.flatnonzero(short & (many > 0) & (many - full > spare)).tolist():
+                seg = self._segments(h[of == r], int(many[r]))
+                gap = np.setdiff1d(np.arange(many[r]), seg.astype(np.int64)).astype(T.U64)
+                keys.append(T.mix(T.mix((T.U64(int(k[r]) * 2 + 1) << T.U64(40)) | gap)))
                 rows.append(np.full(len(gap), r, np.int64))
-        if not keys:
-            return np.zeros(0, T.U64), EMPTY
         return np.concatenate(keys), np.concatenate(rows)
 
-
-def _show(text_col: str, size: int, percent: int, blocks: int):
+    @staticmethod
+    def _segments(h: np.ndarray, many) -> np.ndarray:
+        # the upper 32 bits of the hash, scaled: ordered as the hashes are
+        return ((h >> T.U64(HASH_BITS - 32)) * np.asarray(many).astype(T.U64)) >> T.U64(32)
+
+    def _prints(self, h: np.ndarray, of: np.ndarray, k: np.ndarray, many: np.ndarray, n: int, kind: int):
+        """Prints of the segments with shingles, their rows, and how many
+        each row has."""
+        mine = many[of] > 0
+        h, row = h[mine], of[mine]
+        if len(h) == 0:
+            return np.zeros(0, T.U64), EMPTY, np.zeros(n, np.int64)
+        seg = self._segments(h, many[row])
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (seg[1:] != seg[:-1])
+        head = np.flatnonzero(new)
+        seg, row = seg[head], row[head]
+        scheme = ((k[row] * 2 + kind).astype(T.U64) << T.U64(40)) | seg
+        return T.mix(np.add.reduceat(T.mix(h), head) + T.mix(scheme)), row, np.bincount(row, minlength=n)
+
+
+def _show(text_col: str, size: int, percent: int, bits: np.ndarray, blocks: int):
     """Links of the part's classes that show a common print, and one class per
     print for the block that owns it."""
 
@@ -167,7 +228,7 @@ def _show(text_col: str, size: int, percent: int, blocks: int):
                 keep = np.zeros(n, bool)
                 keep[rep] = True
                 mine = keep[of]
-                keys, rows = segments.show(h[mine], of[mine], n)
+                keys, rows = segments.show(h[mine], of[mine], n, bits)
                 cls = one[rows]
                 order = np.argsort(keys)
                 keys, cls = keys[order], cls[order]
@@ -340,9 +401,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     similarity ``percent`` / 100 or more)."""
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, text_col)
-    prints = saved(texts.mapInArrow(_describe(text_col, size), f"{B.ORDER} long, n long, one long, two long"))
     blocks = B.layout(B.text_bytes(docs, text_col))
-    shown = texts.mapInArrow(_show(text_col, size, percent, blocks),
+    described = texts.mapInArrow(_describe(text_col, size, blocks),
+                                 f"{B.ORDER} long, n long, one long, two long, block long, tokens binary")
+    common = described.where("block is not null").select("block", "tokens").groupBy("block").applyInArrow(
+        _common(max(1, COMMON_MOST // blocks)), "tokens binary").collect()
+    prints = saved(described.where("block is null").drop("block", "tokens"))
+    shown = texts.mapInArrow(_show(text_col, size, percent, common_bits([r.tokens for r in common]), blocks),
                              "block long, prints binary, classes binary, left binary, right binary")
     together = components.smallest(shown.groupBy("block").applyInArrow(_link, "left long, right long"))
     member = together.select(F.col("node").alias("one"), F.col("root").alias("cluster"))
