@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.vocab import batches_of
+from runlens.llm.store import small_batches
+from runlens.llm.vocab import slices
 
 SAMPLE = 20_000
 UNITS = 30_000
@@ -86,6 +87,7 @@ def _log_table(rows: list, languages: list[str]) -> dict[str, tuple]:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE,
         units: int = UNITS) -> Model:
     """Model from the labelled documents among ``docs``."""
+    small_batches(docs)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     n = labelled.select(id_col).count()
     share = 1_000_000 if n <= sample else int(1_000_000 * sample / n)
@@ -94,10 +96,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             words: dict[str, Counter] = {}
-            for lang, text in zip(langs, texts):
-                words.setdefault(lang, Counter()).update(letters(text))
+            for part in slices(batch):
+                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                    words.setdefault(lang, Counter()).update(letters(text))
             rows = []
             for lang, count in words.items():
                 parts: Counter = Counter()
@@ -135,37 +137,33 @@ class _Known(dict):
         return place
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", remember: int = 300_000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", remember: int = 150_000) -> DataFrame:
     """Input columns plus ``lang_pred`` and ``score``."""
+    small_batches(docs)
     docs = docs.drop(*RESULT)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = _Known(), np.zeros((0, len(model.languages)))
         for batch in batches:
-            texts = batch.column(text_col).to_pylist()
             said: list[str] = []
             score: list[float] = []
-            for a, b in batches_of(texts):
-                parts = [letters(t) for t in texts[a:b]]
+            for part in slices(batch):
+                parts = [letters(t) for t in part.column(text_col).to_pylist()]
                 count = np.array([len(p) for p in parts], dtype=np.int64)
-                if not model.languages or not count.sum():
-                    said += [UNKNOWN] * len(parts)
-                    score += [0.0] * len(parts)
-                    continue
-                if len(known) > remember:
-                    known, table = _Known(), table[:0]
-                at = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, int(count.sum()))
-                fresh, known.fresh = known.fresh, []
-                table = np.concatenate([table, np.array([model.word_score(w) for w in fresh]).reshape(-1, table.shape[1])])
-                some = np.flatnonzero(count)
-                sums = np.add.reduceat(table[at], (np.cumsum(count) - count)[some], axis=0)
-                share = np.exp(sums - sums.max(axis=1, keepdims=True))
-                share /= share.sum(axis=1, keepdims=True)
-                best = share.argmax(axis=1)
                 langs, values = [UNKNOWN] * len(parts), [0.0] * len(parts)
-                for i, k, s in zip(some.tolist(), best.tolist(), share.max(axis=1).tolist()):
-                    langs[i], values[i] = model.languages[k], s
+                if model.languages and count.sum():
+                    if len(known) > remember:
+                        known, table = _Known(), table[:0]
+                    at = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, int(count.sum()))
+                    fresh, known.fresh = known.fresh, []
+                    table = np.concatenate([table, np.array([model.word_score(w) for w in fresh]).reshape(-1, table.shape[1])])
+                    some = np.flatnonzero(count)
+                    sums = np.add.reduceat(table[at], (np.cumsum(count) - count)[some], axis=0)
+                    share = np.exp(sums - sums.max(axis=1, keepdims=True))
+                    share /= share.sum(axis=1, keepdims=True)
+                    for i, k, s in zip(some.tolist(), share.argmax(axis=1).tolist(), share.max(axis=1).tolist()):
+                        langs[i], values[i] = model.languages[k], s
                 said += langs
                 score += values
             yield pa.record_batch({**{c: batch.column(c) for c in names}, "lang_pred": pa.array(said, pa.string()),

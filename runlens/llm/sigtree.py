@@ -48,13 +48,13 @@ from pyspark.sql import functions as F
 from runlens.llm import blocks as B
 from runlens.llm import components
 from runlens.llm import textops as T
-from runlens.llm.store import saved
+from runlens.llm.store import saved, small_batches
 
-PART, PART_ROWS, HASH_BITS = 2 << 20, 4096, 52
+PART, PART_ROWS, HASH_BITS = 1 << 20, 4096, 52
 BROADCAST_ROWS = 200_000
 # shingles held by so many parts are common; of them, the bitmap (8 MB) takes
 # the most frequent ``COMMON_MOST`` at most
-COMMON_PARTS, COMMON, COMMON_MOST = 3, 1 << 26, 4_000_000
+COMMON_PARTS, COMMON, COMMON_MOST = 4, 1 << 26, 4_000_000
 GROUP_SHINGLES = 300_000
 LEAF, FANOUT = 16, 8
 EMPTY = np.zeros(0, np.int64)
@@ -399,6 +399,7 @@ def _compare(percent: int):
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable by links of
     similarity ``percent`` / 100 or more)."""
+    small_batches(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, text_col)
     blocks = B.layout(B.text_bytes(docs, text_col))

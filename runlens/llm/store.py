@@ -1,4 +1,4 @@
-"""Cut lineage through the shared checkpoint folder."""
+"""Cut lineage through the shared checkpoint folder; batch size of Arrow tasks."""
 
 from __future__ import annotations
 
@@ -13,3 +13,11 @@ def saved(df: DataFrame) -> DataFrame:
     executor costs nothing)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Whole texts make default Arrow batches (10,000 rows) large: ask for
+    smaller ones, unless the session sets its own size."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key, "10000") == "10000":
+        df.sparkSession.conf.set(key, str(rows))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runlens.llm import vocab
-from runlens.llm.store import saved
+from runlens.llm.store import saved, small_batches
 
 BLOCK = 1 << 16
 GROUP = 1024
@@ -56,6 +56,7 @@ def flat_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
     block, tokens as unsigned 16 bit) and, as rows without tokens, the ids of
     the documents in file order (``ids``, from number ``first`` on).  Control
     strings in texts are tokenised as text, so ``end_id`` ends documents only."""
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -75,16 +76,15 @@ def flat_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
                 "ids": pa.array(none + ([ids] if ids is not None else []), pa.list_(pa.int64()))})
 
         for batch in batches:
-            names, texts = batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist()
-            for a, b in vocab.batches_of(texts):
-                flat, offsets = encoder.encode(texts[a:b])
+            for part in vocab.slices(batch):
+                flat, offsets = encoder.encode(part.column(text_col).to_pylist())
                 # each text's ids, then the separator
                 out = np.insert(flat.astype("<u2"), offsets[1:], np.uint16(end_id))
                 rest = np.concatenate([rest, out])
                 full = len(rest) // block
                 cuts = [rest[i * block:(i + 1) * block].tobytes() for i in range(full)]
-                yield rows(cuts, names[a:b], first)
-                at, first, rest = at + full, first + b - a, rest[full * block:]
+                yield rows(cuts, part.column(id_col).to_pylist(), first)
+                at, first, rest = at + full, first + part.num_rows, rest[full * block:]
         if len(rest):
             yield rows([rest.tobytes()], None, 0)
 

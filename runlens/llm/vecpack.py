@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from runlens.llm import vocab
+from runlens.llm.store import small_batches
 
 POOL = 2048
 LIMITS = (4096, 512, 4096)  # tokens, segments, loss-bearing tokens
@@ -163,6 +164,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "
     """Documents (ids of the text, then ``end_id``; every token bears loss),
     cut where that fills a sequence: id, start, length, ids (binary, unsigned
     little-endian 32 bit), doc_tokens, sequence_id, offset."""
+    small_batches(docs)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +191,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "
 
         for batch in batches:
             id_type = batch.schema.field(id_col).type
-            names, texts = batch.column(id_col).to_pylist(), batch.column(text_col).to_pylist()
-            for a, b in vocab.batches_of(texts):
-                flat, offsets = encoder.encode(texts[a:b])
+            for part in vocab.slices(batch):
+                names = part.column(id_col).to_pylist()
+                flat, offsets = encoder.encode(part.column(text_col).to_pylist())
                 new = []
-                for i in range(b - a):
+                for i, name in enumerate(names):
                     ids = np.append(flat[offsets[i]:offsets[i + 1]], np.uint32(end_id)).astype("<u4")
-                    kept[next_row] = (names[a + i], ids, len(ids))
+                    kept[next_row] = (name, ids, len(ids))
                     new.append((next_row, 0, len(ids), len(ids)))
                     next_row += 1
                 yield rows(packer.add(new))

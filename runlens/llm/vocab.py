@@ -48,7 +48,7 @@ class _Places(dict):
 
 
 class WordTokenizer:
-    def __init__(self, path: str, special_as_text: bool = False, limit: int = 600_000):
+    def __init__(self, path: str, special_as_text: bool = False, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -135,13 +135,7 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def batches_of(texts: list[str | None], limit: int = 2 << 20):
-    """(first, last) runs of texts of about ``limit`` characters."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= limit:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def slices(batch, rows: int = 256):
+    """Runs of rows, so that only a few texts are Python strings at a time."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
