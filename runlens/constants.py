@@ -186,7 +186,7 @@ ETL_INFO_CASTS = {
 }
 
 REDACTED_ARGS = ["menas-auth-keytab", "menas-credentials-file", "report-date"]
-REDACTED_VALUE = "spot_removed"
+REDACTED_VALUE = "redacted"
 
 # ETL application types and the stored-size keys read for each (input, output).
 ETL_SIZE_KEYS = {
@@ -207,7 +207,7 @@ ETL_KEY_CONFORM_APP_ID = "conform_application_id"
 ETL_KEY_INFO_DATE = "enceladus_info_date"
 
 # root field of error documents
-ERROR_DOC_ROOT = "spot"
+ERROR_DOC_ROOT = "record"
 ETL_OLD_STANDARDIZATION = ("Standardisation ", 6)
 ETL_OLD_CONFORMANCE = ("Dynamic Conformance ", 7)
 

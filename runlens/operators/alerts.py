@@ -39,10 +39,13 @@ def recent(errors: DataFrame, n: int = ALERT_RECENT_ERRORS, time_col: str = "tim
 def error_report(errors: DataFrame, host_col: str = "host", type_col: str = "type",
                  time_col: str = "time_processed") -> DataFrame:
     """K2: per host (and a grand total with host NULL): number of errors,
-    latest error time and the distinct error types (a handful per host)."""
-    return errors.rollup(host_col).agg(
-        F.count(F.lit(1)).alias("n_errors"),
-        F.max(time_col).alias("latest"),
+    latest error time and the distinct error types.  Errors are first reduced
+    to one row per (host, type), so the grand total's group holds types, not
+    errors."""
+    each = errors.groupBy(host_col, type_col).agg(F.count(F.lit(1)).alias("__n"), F.max(time_col).alias("__latest"))
+    return each.rollup(host_col).agg(
+        F.sum("__n").alias("n_errors"),
+        F.max("__latest").alias("latest"),
         F.when(F.count(type_col) > 0, F.array_join(F.array_sort(F.collect_set(type_col)), ",")).alias("types"),
     )
 

@@ -15,7 +15,6 @@ from runlens.constants import (
     ETL_OLD_CONFORMANCE,
     ETL_PROJECT,
     ETL_OLD_STANDARDIZATION,
-    TOP_TAGS_BUCKETS,
     TOP_TAGS_MIN_COUNT,
 )
 from runlens.functions import info_date_str, parse_info_date
@@ -144,21 +143,22 @@ def enrich(df: DataFrame, name_col: str = "name") -> DataFrame:
 
 
 def top_tags(df: DataFrame, tag_col: str = "tag", min_count: int = TOP_TAGS_MIN_COUNT,
-             buckets: int = TOP_TAGS_BUCKETS) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Tags with at least ``min_count`` documents, most frequent first
-    (ties by tag), at most ``buckets`` of them.  Counting is a partial +
+    (ties by tag); all of them unless ``buckets`` asks for a top-k.  Counting is a partial +
     final aggregation; only the (small) tag counts reach the top-k step."""
     # documents without a tag are not counted (as in a terms aggregation):
     # count(tag) is 0 for the NULL group, which the count threshold removes
     counts = df.groupBy(tag_col).agg(F.count(tag_col).alias("doc_count"))
     keep = counts.where(F.col("doc_count") >= max(min_count, 1))
-    return keep.orderBy(F.desc("doc_count"), tag_col).limit(buckets)
+    ordered = keep.orderBy(F.desc("doc_count"), tag_col)
+    return ordered if buckets is None else ordered.limit(buckets)
 
 
-def by_tag(df: DataFrame, tag: str, tag_col: str = "tag", size: int = 10000, order: list[str] | None = None) -> DataFrame:
-    """Documents of one tag, at most ``size`` (total order for determinism)."""
-    hit = df.where(F.col(tag_col) == F.lit(tag))
-    return hit.orderBy(*(order or df.columns)).limit(size)
+def by_tag(df: DataFrame, tag: str, tag_col: str = "tag", size: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """Documents of one tag in a total order; ``size`` asks for a top-k."""
+    hit = df.where(F.col(tag_col) == F.lit(tag)).orderBy(*(order or df.columns))
+    return hit if size is None else hit.limit(size)
 
 
 def doc_uid(app_id: Column | str, attempt_id: Column | str) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.constants import IDS_PER_STEP, LOOKBACK_HOURS, SETTLING_SECONDS, STEP_SECONDS
+from runlens.constants import LOOKBACK_HOURS, SETTLING_SECONDS, STEP_SECONDS
 
 
 def max_time(df: DataFrame, time_col: str, alias: str = "as_of") -> DataFrame:
@@ -158,10 +158,11 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str | list[str], order:
 
 
 def ids_desc(store: DataFrame, time_col: str, lo: Column, hi: Column, id_col: str = "id",
-             size: int = IDS_PER_STEP) -> DataFrame:
-    """Ids in a time range, newest first, at most ``size`` (a top-k:
-    ``TakeOrderedAndProject``, each task keeps only its own top ``size``)."""
-    return in_range(store, time_col, lo, hi).select(id_col, time_col).orderBy(F.desc(time_col), id_col).limit(size)
+             size: int | None = None) -> DataFrame:
+    """Ids in a time range, newest first; all of them (an id left out
+    would look new) unless ``size`` asks for a top-k."""
+    ids = in_range(store, time_col, lo, hi).select(id_col, time_col).orderBy(F.desc(time_col), id_col)
+    return ids if size is None else ids.limit(size)
 
 
 def distinct_ids(df: DataFrame, id_col: str = "id") -> DataFrame:

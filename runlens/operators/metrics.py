@@ -180,11 +180,13 @@ def attempt_report(
     return joined.select("*", *summary_columns())
 
 
-def attempt_summary(attempts: DataFrame, executors: DataFrame, stages: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def attempt_summary(attempts: DataFrame, executors: DataFrame, stages: DataFrame, keys: list[str] = KEYS,
+                    parallelism: bool = True) -> DataFrame:
     """The summary block of ``attempt_report`` only (keys + M4-M8 fields).
 
     Column pruning removes every aggregate the summary does not read, and
     no distinct counts are computed, so this is much cheaper than the full
-    report.
+    report.  ``parallelism=False`` leaves out the interval union for callers
+    that read no field derived from it.
     """
-    return attempt_report(attempts, executors, stages, keys, nunique="none").select(*keys, *SUMMARY_FIELDS)
+    return attempt_report(attempts, executors, stages, keys, nunique="none", parallelism=parallelism).select(*keys, *SUMMARY_FIELDS)

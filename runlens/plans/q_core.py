@@ -129,8 +129,8 @@ def speedup_ratios(spark, sf_dir):
     f"FROM ({SUMMARY_SQL}) WHERE estimated_core_efficiency IS NOT NULL",
 )
 def core_efficiency(spark, sf_dir):
-    """M5: core cost and efficiency."""
-    df = attempt_summary(spark, sf_dir)
+    """M5: core cost and efficiency (no field of the interval union is read)."""
+    df = M.attempt_summary(V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir), parallelism=False)
     return df.where(F.col("estimated_core_efficiency").isNotNull()).select(
         *K, "core_cost", "estimated_core_efficiency", "unused_core_cost", "x_unused_core_cost_hours"
     )
@@ -142,8 +142,8 @@ def core_efficiency(spark, sf_dir):
     f"unused_storage_memory FROM ({SUMMARY_SQL}) WHERE est_peak_memory_usage IS NOT NULL",
 )
 def memory_usage(spark, sf_dir):
-    """M6/M8: peak memory estimate and storage memory use."""
-    df = attempt_summary(spark, sf_dir)
+    """M6/M8: peak memory estimate and storage memory use (no interval union)."""
+    df = M.attempt_summary(V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir), parallelism=False)
     return df.where(F.col("est_peak_memory_usage").isNotNull()).select(
         *K, "est_peak_memory_usage", "storage_memory_usage", "x_unused_storage_memory_bytes", "unused_storage_memory"
     )

@@ -156,9 +156,12 @@ FROM runs_v r JOIN s USING (app_id, attempt_id) WHERE r.host IN ('host-1', 'host
 )
 def by_cluster(spark, sf_dir):
     """Several clusters (hosts) filtered together, compared side by side."""
-    s = _summary(spark, sf_dir)
-    r = V.runs_v(spark, sf_dir).select(*K, "host").where(F.col("host").isin("host-1", "host-3"))
-    return r.join(s, K).groupBy("host").agg(
+    runs = V.runs_v(spark, sf_dir).where(F.col("host").isin("host-1", "host-3"))
+    listed = runs.select(*K)
+    # filter first: only the listed runs' executors and stages are aggregated
+    s = M.attempt_summary(runs, V.executors_v(spark, sf_dir).join(listed, K, "left_semi"),
+                          V.stages_v(spark, sf_dir).join(listed, K, "left_semi"))
+    return runs.select(*K, "host").join(s, K).groupBy("host").agg(
         F.count(F.lit(1)).alias("n_runs"), F.avg("estimated_speedup").alias("avg_speedup"),
         F.sum("core_cost").cast("bigint").alias("core_cost"),
     )

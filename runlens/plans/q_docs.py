@@ -121,10 +121,10 @@ def q_etl_tag(spark, sf_dir):
 @register(
     "top_tags",
     f"""SELECT tag, count(*) AS doc_count FROM (SELECT {tag_sql()} AS tag FROM ({cls_sql('runs_v')}))
-WHERE tag IS NOT NULL GROUP BY tag HAVING count(*) >= 10 ORDER BY doc_count DESC, tag LIMIT 5000""",
+WHERE tag IS NOT NULL GROUP BY tag HAVING count(*) >= 10 ORDER BY doc_count DESC, tag""",
 )
 def q_top_tags(spark, sf_dir):
-    """Tags with at least 10 documents, most frequent first, 5000 at most."""
+    """Tags with at least 10 documents, most frequent first."""
     return C.top_tags(_enriched_runs(spark, sf_dir))
 
 
@@ -134,10 +134,10 @@ _SOME_TAG = "Daily_report-1-URGENT run.3"
 @register(
     "by_tag",
     f"""SELECT app_id, attempt_id, name, host FROM (SELECT *, {tag_sql()} AS tag FROM ({cls_sql('runs_v')}))
-WHERE tag = '{_SOME_TAG}' ORDER BY app_id, attempt_id LIMIT 10000""",
+WHERE tag = '{_SOME_TAG}' ORDER BY app_id, attempt_id""",
 )
 def q_by_tag(spark, sf_dir):
-    """Documents of one tag (capped at 10000)."""
+    """Documents of one tag."""
     e = _enriched_runs(spark, sf_dir)
     return C.by_tag(e, _SOME_TAG, order=K).select(*K, "name", "host")
 

@@ -167,7 +167,7 @@ def etl_cast_info(spark, sf_dir):
 @register(
     "redact_args",
     f"""SELECT uniqueId, array_to_string(list_sort(list_transform(args,
-    lambda e: e.k || '=' || CASE WHEN e.k IN {_RED} THEN 'spot_removed' ELSE e.v END)), ' ') AS args,
+    lambda e: e.k || '=' || CASE WHEN e.k IN {_RED} THEN 'redacted' ELSE e.v END)), ' ') AS args,
   CAST(len(list_filter(args, lambda e: e.k IN {_RED})) AS INTEGER) AS n_redacted
 FROM (SELECT uniqueId, {_ARGS} AS args FROM etl_runs_v)""",
 )

@@ -141,10 +141,10 @@ def latest_end_time(spark, sf_dir):
 @register(
     "processed_ids_desc",
     f"""WITH {ASOF} SELECT id, end_time FROM polls_v, a
-WHERE processed AND end_time BETWEEN as_of - INTERVAL 168 HOUR AND as_of ORDER BY end_time DESC, id LIMIT 10000""",
+WHERE processed AND end_time BETWEEN as_of - INTERVAL 168 HOUR AND as_of ORDER BY end_time DESC, id""",
 )
 def processed_ids_desc(spark, sf_dir):
-    """Stored ids of the lookback range, newest first, 10000 at most."""
+    """Stored ids of the lookback range, newest first."""
     p, as_of = _polls(spark, sf_dir)
     lo = F.timestamp_add("HOUR", F.lit(-168), as_of)
     return I.ids_desc(p.where("processed"), "end_time", lo, as_of)

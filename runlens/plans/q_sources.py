@@ -73,19 +73,11 @@ def schema_evolution_union(spark, sf_dir):
     "\nUNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS docs_count FROM {t}" for t in TABLES),
 )
 def q_table_stats(spark, sf_dir):
-    """Document count per table (bytes in ``input_sizing``)."""
+    """Document count per table (``table_stats`` also gives bytes, which SQL cannot see)."""
     st = S.table_stats(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES})
     return st.select("table", "docs_count")
 
 
-@register("input_sizing")
-def input_sizing(spark, sf_dir):
-    """Bytes, 128 MiB blocks and files of the table directory (file
-    metadata only: contents are not read).  No SQL oracle: file sizes are not
-    visible to the SQL engine."""
-    return S.input_size(spark, sf_dir, glob="*.parquet")
-
-
 @register(
     "src_environment",
     "SELECT app_id, attempt_id, count(*) AS n_property_pairs FROM props_v "

@@ -94,6 +94,9 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a skewed join even where the aggregate above it then needs
+        # another shuffle (a hot run's or attempt's rows)
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
 
 

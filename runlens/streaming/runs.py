@@ -32,8 +32,10 @@ def listed_runs(spark: SparkSession, path: str, schema, fmt: str = "parquet", ma
 def new_runs(stream: DataFrame, time_col: str = "end_time", keys: list[str] | None = None,
              lookback_hours: int = LOOKBACK_HOURS) -> DataFrame:
     """Runs deduplicated on their key within the lookback (watermark):
-    a run listed again is dropped, a late run inside the lookback is kept."""
-    return stream.withWatermark(time_col, f"{lookback_hours} hours").dropDuplicatesWithinWatermark(keys or ["id"])
+    a run listed again is dropped, a late run inside the lookback is kept.
+    The key is (application, attempt) unless ``keys`` says otherwise: another
+    attempt of an application is another run."""
+    return stream.withWatermark(time_col, f"{lookback_hours} hours").dropDuplicatesWithinWatermark(keys or ["app_id", "attempt_id"])
 
 
 def step_counts(stream: DataFrame, time_col: str = "end_time", step_seconds: int = STEP_SECONDS,

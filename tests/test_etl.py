@@ -92,7 +92,7 @@ def test_typed_info(spark):
                                "controlMeasure struct<metadata:struct<additionalInfo:map<string,string>>>")
     r = df.select(*[E.typed_info(k).alias(k) for k in m]).first()
     assert r["std_executor_memory"] == 2 * 1024 ** 3 and r["std_size_ratio"] == 0.5
-    assert r["std_cmd_line_args"] == {"report-date": "spot_removed", "x": "y"}
+    assert r["std_cmd_line_args"] == {"report-date": "redacted", "x": "y"}
     assert r["conform_executor_memory_overhead"] == 512 * 1024 ** 2
     assert r["records"]["num"] == 7.0 and r["label"]["str"] == "t" and r["label"]["num"] is None
     assert df.select(F.lit(1)).count() == 1

@@ -76,8 +76,8 @@ def test_cmd_args(spark):
 
 
 def test_redact(spark):
-    m = one(spark, fn.redact(fn.parse_cmd_args(F.col("x")), ["report-date"], "spot_removed"), "--report-date 2020 --k v")
-    assert m == {"report-date": "spot_removed", "k": "v"}
+    m = one(spark, fn.redact(fn.parse_cmd_args(F.col("x")), ["report-date"], "redacted"), "--report-date 2020 --k v")
+    assert m == {"report-date": "redacted", "k": "v"}
 
 
 @pytest.mark.parametrize(

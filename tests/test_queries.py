@@ -19,9 +19,7 @@ def con():
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
-    if key not in ORACLE:
-        assert df.count() >= 0
-        return
+    assert key in ORACLE, "a query without an oracle shows nothing"
     sql = with_views(ORACLE[key])
     r = compare(df, con, sql)
     assert r["ok"], r

@@ -17,7 +17,7 @@ def test_stream_dedup_and_steps_equal_batch(spark):
     polls.write.mode("overwrite").parquet(f"{work}/landing/p1")
     polls.where(F.col("uid") % 2 == 0).write.mode("overwrite").parquet(f"{work}/landing/p2")
     stream = R.listed_runs(spark, f"{work}/landing/*", polls.schema)
-    q = R.start(R.new_runs(stream), f"{work}/ck1", sink="parquet", path=f"{work}/out_new")
+    q = R.start(R.new_runs(stream, keys=["id"]), f"{work}/ck1", sink="parquet", path=f"{work}/out_new")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{work}/out_new").count() == polls.select("id").distinct().count()
 
@@ -76,7 +76,7 @@ def test_parquet_store_and_profile(spark):
     assert store.processed_ids(T0, T0) is None
     store.save_aggs(batch, version=0)
     listed = spark.createDataFrame([("a", T0), ("c", T0)], "id string, end_time timestamp")
-    seen = store.processed_ids(T0, T0)
+    seen = store.processed_ids(T0, T0, "end_time", "id")
     assert [r.id for r in I.new_runs(listed, seen).collect()] == ["c"]
     store.save_errors(spark.createDataFrame([("x",)], "msg string"))
 
@@ -115,6 +115,6 @@ def test_late_run_inside_lookback_is_kept(spark):
     first.write.parquet(f"{work}/landing/1")
     late.write.parquet(f"{work}/landing/2")
     stream = R.listed_runs(spark, f"{work}/landing/*", first.schema, max_files=1)
-    q = R.start(R.new_runs(stream), f"{work}/ck", sink="parquet", path=f"{work}/out")
+    q = R.start(R.new_runs(stream, keys=["id"]), f"{work}/ck", sink="parquet", path=f"{work}/out")
     q.awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(f"{work}/out").collect()) == ["a", "b", "c"]
