@@ -81,8 +81,21 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
     return key & T.U64((1 << HASH_BITS) - 1), (key >> T.U64(HASH_BITS)).astype(np.int64)
 
 
+def six(values: np.ndarray) -> np.ndarray:
+    """The lower 48 bits as six bytes each: entries travel in large numbers,
+    and a chance equality only adds a comparison."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def from_six(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = raw.reshape(-1, 6)
+    return out.reshape(-1).view("<u8").astype(T.U64)
+
+
 def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Set size and 128-bit content print of every row."""
+    """Set size and content print of every row: 48 bits that name its class
+    in groups, and 64 more that tell classes apart."""
     size = np.bincount(of, minlength=n)
     one, two = np.zeros(n, T.U64), np.zeros(n, T.U64)
     some = np.flatnonzero(size)
@@ -90,7 +103,7 @@ def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
         at = (np.cumsum(size) - size)[some]
         one[some] = np.add.reduceat(T.mix(h), at)
         two[some] = np.add.reduceat(T.mix(h ^ T.U64(0x5851F42D4C957F2D)), at)
-    return size, T.mix(one).view(np.int64), T.mix(two).view(np.int64)
+    return size, (T.mix(one) & T.U64((1 << 48) - 1)).view(np.int64), T.mix(two).view(np.int64)
 
 
 def _describe(text_col: str, size: int, blocks: int):
@@ -236,7 +249,7 @@ def _show(text_col: str, size: int, percent: int, bits: np.ndarray, blocks: int)
                 head = cls[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else cls
                 far = head != cls
                 nodes, roots = components.local(head[far], cls[far])
-                out = B.deal(keys[new], 0, {"prints": keys[new], "classes": cls[new]}, blocks).drop_columns([B.CHUNK])
+                out = B.deal(keys[new], 0, {"prints": six(keys[new]), "classes": six(cls[new])}, blocks).drop_columns([B.CHUNK])
                 none = pa.nulls(out.num_rows, pa.binary())
                 yield from out.append_column("left", none).append_column("right", none).to_batches()
                 if len(nodes):
@@ -250,7 +263,8 @@ def _show(text_col: str, size: int, percent: int, bits: np.ndarray, blocks: int)
 
 def _link(table: pa.Table) -> pa.Table:
     """Block step: classes that show a common print, as a spanning forest."""
-    h, cls = B.gathered(table, "prints", T.U64), B.gathered(table, "classes", np.int64)
+    h = from_six(B.gathered(table, "prints", np.uint8))
+    cls = from_six(B.gathered(table, "classes", np.uint8)).view(np.int64)
     order = np.lexsort((cls, h))
     h, cls = h[order], cls[order]
     new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
@@ -402,7 +416,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, text_col)
-    blocks = B.layout(B.text_bytes(docs, text_col))
+    # every part has a row for each block: a quarter of the chunks' number
+    # keeps their product small
+    blocks = max(1, B.layout(B.text_bytes(docs, text_col)) // 4)
     described = texts.mapInArrow(_describe(text_col, size, blocks),
                                  f"{B.ORDER} long, n long, one long, two long, block long, tokens binary")
     common = described.where("block is not null").select("block", "tokens").groupBy("block").applyInArrow(
