@@ -10,8 +10,8 @@ posterior under equal priors (0 to 1).
 The model is fitted on a bounded sample of the labelled documents (about
 ``SAMPLE`` of them, chosen by a hash of the id, not by order) and keeps the
 ``UNITS`` most frequent words and as many n-grams, so it can be sent to every
-task.  Counting is a Spark aggregation, partial counts first; prediction is
-one pass without a shuffle.
+task.  Counting is a Spark aggregation, partial counts first, of words and then
+of the n-grams of distinct words; prediction is one pass without a shuffle.
 
 Cases: null text, text without a letter, or a model without languages gives
 ``und`` and 0; ties go to the language that sorts first; rows without a
@@ -29,10 +29,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.llm.store import small_batches
+from runlens.llm.store import saved, small_batches
 from runlens.llm.vocab import slices
 
 SAMPLE = 20_000
@@ -84,6 +84,19 @@ def _log_table(rows: list, languages: list[str]) -> dict[str, tuple]:
     return out
 
 
+def _grams(word_col: str) -> Column:
+    """All n-grams of a word, as ``grams`` gives them for every length."""
+    word = F.col(word_col)
+    padded = F.concat(F.lit("^"), word, F.lit("$"))
+
+    def of(text: Column, n: int) -> Column:
+        last = F.char_length(text) - (n - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(text, i, n))
+
+    return F.concat(of(word, 1), *(of(padded, n) for n in range(2, LONGEST + 1)))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE,
         units: int = UNITS) -> Model:
     """Model from the labelled documents among ``docs``."""
@@ -100,25 +113,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             for part in slices(batch):
                 for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                     words.setdefault(lang, Counter()).update(letters(text))
-            rows = []
-            for lang, count in words.items():
-                parts: Counter = Counter()
-                for word, k in count.items():
-                    rows.append((0, word, lang, k))
-                    for size in range(1, LONGEST + 1):
-                        for g in grams(word, size):
-                            parts[g] += k
-                rows += [(1, g, lang, k) for g, k in parts.items()]
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.record_batch({"kind": pa.array(cols[0], pa.int32()), "unit": pa.array(cols[1], pa.string()),
-                                   "lang": pa.array(cols[2], pa.string()), "n": pa.array(cols[3], pa.int64())})
-
-    counted = (chosen.mapInArrow(run, "kind int, unit string, lang string, n long")
-               .groupBy("kind", "unit", "lang").agg(F.sum("n").alias("n")))
-    by_unit = counted.groupBy("kind", "unit").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+            rows = [(word, lang, k) for lang, count in words.items() for word, k in count.items()]
+            cols = list(zip(*rows)) or [[]] * 3
+            yield pa.record_batch({"unit": pa.array(cols[0], pa.string()), "lang": pa.array(cols[1], pa.string()),
+                                   "n": pa.array(cols[2], pa.int64())})
+
+    # texts are read once; n-grams are counted from the distinct words
+    words = saved(chosen.mapInArrow(run, "unit string, lang string, n long").groupBy("unit", "lang").agg(F.sum("n").alias("n")))
+    pieces = words.select(F.explode(_grams("unit")).alias("unit"), "lang", "n").groupBy("unit", "lang").agg(F.sum("n").alias("n"))
     tables = []
-    for kind in (0, 1):
-        best = by_unit.where(F.col("kind") == kind).orderBy(F.desc("total"), "unit").limit(units).collect()
+    for counted in (words, pieces):
+        by_unit = counted.groupBy("unit").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+        best = by_unit.orderBy(F.desc("total"), "unit").limit(units).collect()
         tables.append([(r.unit, x.lang, x.n) for r in best for x in r.by])
     languages = sorted({lang for t in tables for _, lang, _ in t})
     return Model(languages, _log_table(tables[0], languages), _log_table(tables[1], languages))
