@@ -416,9 +416,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, text_col)
-    # every part has a row for each block: a quarter of the chunks' number
-    # keeps their product small
-    blocks = max(1, B.layout(B.text_bytes(docs, text_col)) // 4)
+    # every part has a row for each block: a sixteenth of the chunks' number
+    # keeps their product small, and a block links what it holds before it
+    # answers (some 12 bytes an entry: its memory stays small)
+    blocks = max(1, B.layout(B.text_bytes(docs, text_col)) // 16)
     described = texts.mapInArrow(_describe(text_col, size, blocks),
                                  f"{B.ORDER} long, n long, one long, two long, block long, tokens binary")
     common = described.where("block is not null").select("block", "tokens").groupBy("block").applyInArrow(
