@@ -25,8 +25,11 @@ block that owns the print, so a hot print costs one entry per part.  A group
 of more than ``GROUP_SHINGLES`` is cut into blocks by hash, and each pair of
 blocks is a task of its own; no group meets in one task.  Such a group costs
 the square of its number of blocks, less what the trees prune.  Texts of the
-classes in groups are fetched by a broadcast of their ids where a count (made
-first) shows at most ``BROADCAST_ROWS`` of them, by shuffle beyond.
+classes in groups are fetched by a broadcast of their ids and text hashes
+where a count (made first) shows at most ``BROADCAST_ROWS`` of them, by
+shuffle beyond.  Links are between classes (each has a number), never between
+ids: several texts may share an id.  Ids come back in the last step, as the
+smallest of each component.
 
 Cases: A-Z are lower-cased; null or empty text has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle; rows with
@@ -58,6 +61,7 @@ COMMON_PARTS, COMMON, COMMON_MOST = 4, 1 << 26, 4_000_000
 GROUP_SHINGLES = 300_000
 LEAF, FANOUT = 16, 8
 EMPTY = np.zeros(0, np.int64)
+MARK = "__llm_mark"  # hash of a text: names a row among those of its id
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,15 +120,15 @@ def _describe(text_col: str, size: int, blocks: int):
                 h, of = shingle_sets(data, offsets, size)
                 n = len(offsets) - 1
                 count, one, two = _prints(h, of, n)
-                own = pa.record_batch({B.ORDER: batch.column(B.ORDER).slice(first, n), "n": pa.array(count, pa.int64()),
-                                       "one": pa.array(one), "two": pa.array(two)})
+                own = pa.record_batch({B.ORDER: batch.column(B.ORDER).slice(first, n), MARK: batch.column(MARK).slice(first, n),
+                                       "n": pa.array(count, pa.int64()), "one": pa.array(one), "two": pa.array(two)})
                 for name, kind in (("block", pa.int64()), ("tokens", pa.binary())):
                     own = own.append_column(name, pa.nulls(n, kind))
                 yield own
                 short = np.unique((h >> T.U64(HASH_BITS - 32)).astype(np.uint32))
                 dealt = B.deal(short.astype(T.U64) << T.U64(17), 0, {"tokens": short}, blocks)
                 none = pa.nulls(dealt.num_rows, pa.int64())
-                yield from pa.table({B.ORDER: none, "n": none, "one": none, "two": none, "block": dealt.column("block"),
+                yield from pa.table({B.ORDER: none, MARK: none, "n": none, "one": none, "two": none, "block": dealt.column("block"),
                                      "tokens": dealt.column("tokens")}).to_batches()
 
     return run
@@ -276,11 +280,18 @@ def _link(table: pa.Table) -> pa.Table:
     return pa.table({"left": pa.array(roots[far], pa.int64()), "right": pa.array(nodes[far], pa.int64())})
 
 
-def _sets(id_col: str, text_col: str, size: int):
-    """Shingle sets of the representatives (as binary), checked by print."""
+def _sets(text_col: str, size: int):
+    """Shingle sets of the representatives (as binary), checked by print;
+    each once per scan part, however many copies of its row there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
+            fresh = []
+            for key in zip(batch.column("task").to_pylist(), batch.column("node").to_pylist()):
+                fresh.append(key not in sent)
+                sent.add(key)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             for first, data, offsets in T.parts(batch.column(text_col), PART, PART_ROWS):
                 n = len(offsets) - 1
                 h, of = shingle_sets(data, offsets, size)
@@ -290,7 +301,7 @@ def _sets(id_col: str, text_col: str, size: int):
                 same = ((one == own.column("one").to_numpy()) & (two == own.column("two").to_numpy())).tolist()
                 sets = [h[e - c:e].tobytes() if ok else None for e, c, ok in zip(ends.tolist(), count.tolist(), same)]
                 yield pa.record_batch({"task": own.column("task"), "side": own.column("side"), "cluster": own.column("cluster"),
-                                       "rep": own.column(B.ORDER), "n": pa.array(count, pa.int64()), "set": pa.array(sets, pa.binary())})
+                                       "node": own.column("node"), "n": pa.array(count, pa.int64()), "set": pa.array(sets, pa.binary())})
 
     return run
 
@@ -393,8 +404,11 @@ def _compare(percent: int):
     """Task: the tree of every group in it; links as a spanning forest."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.filter(pa.compute.is_valid(table.column("set"))).sort_by([("cluster", "ascending"), ("rep", "ascending")])
-        cluster, rep = table.column("cluster").to_numpy(), table.column("rep").to_numpy()
+        table = table.filter(pa.compute.is_valid(table.column("set"))).sort_by([("cluster", "ascending"), ("node", "ascending")])
+        node = table.column("node").to_numpy()
+        # a class that several scan parts sent counts once
+        table = table.filter(pa.array(np.append(True, node[1:] != node[:-1])[:len(node)]))
+        cluster, node = table.column("cluster").to_numpy(), table.column("node").to_numpy()
         side = table.column("side").to_numpy()
         raw = table.column("set").to_pylist()
         cuts = np.flatnonzero(np.append(True, cluster[1:] != cluster[:-1])) if len(cluster) else EMPTY
@@ -402,8 +416,8 @@ def _compare(percent: int):
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(cluster)]):
             label = traverse([np.frombuffer(x, T.U64) for x in raw[a:b]], side[a:b], percent)
             moved = np.flatnonzero(label != np.arange(b - a))
-            left.append(rep[a + label[moved]])
-            right.append(rep[a + moved])
+            left.append(node[a + label[moved]])
+            right.append(node[a + moved])
         return pa.table({"left": pa.array(np.concatenate(left) if left else EMPTY, pa.int64()),
                          "right": pa.array(np.concatenate(right) if right else EMPTY, pa.int64())})
 
@@ -415,23 +429,25 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     similarity ``percent`` / 100 or more)."""
     small_batches(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
-    texts = rows.select(B.ORDER, text_col)
+    texts = rows.select(B.ORDER, F.xxhash64(text_col).alias(MARK), text_col)
     # every part has a row for each block: a sixteenth of the chunks' number
     # keeps their product small, and a block links what it holds before it
     # answers (some 12 bytes an entry: its memory stays small)
     blocks = max(1, B.layout(B.text_bytes(docs, text_col)) // 16)
     described = texts.mapInArrow(_describe(text_col, size, blocks),
-                                 f"{B.ORDER} long, n long, one long, two long, block long, tokens binary")
+                                 f"{B.ORDER} long, {MARK} long, n long, one long, two long, block long, tokens binary")
     common = described.where("block is not null").select("block", "tokens").groupBy("block").applyInArrow(
         _common(max(1, COMMON_MOST // blocks)), "tokens binary").collect()
     prints = saved(described.where("block is null").drop("block", "tokens"))
-    shown = texts.mapInArrow(_show(text_col, size, percent, common_bits([r.tokens for r in common]), blocks),
+    shown = rows.select(text_col).mapInArrow(_show(text_col, size, percent, common_bits([r.tokens for r in common]), blocks),
                              "block long, prints binary, classes binary, left binary, right binary")
     together = components.smallest(shown.groupBy("block").applyInArrow(_link, "left long, right long"))
     member = together.select(F.col("node").alias("one"), F.col("root").alias("cluster"))
     member = member.unionByName(together.select(F.col("root").alias("one"), F.col("root").alias("cluster")).distinct())
-    classes = prints.where("n > 0").groupBy("one", "two").agg(F.min(B.ORDER).alias(B.ORDER), F.max("n").alias("n"))
-    reps = saved(classes.join(member, "one"))
+    classes = prints.where("n > 0").groupBy("one", "two").agg(
+        F.min(B.ORDER).alias(B.ORDER), F.min_by(MARK, B.ORDER).alias(MARK), F.max("n").alias("n"))
+    # a class's number is its node: exact, and apart for texts that share an id
+    reps = saved(classes.join(member, "one").withColumn("node", F.monotonically_increasing_id()))
     sums = saved(reps.groupBy("cluster").agg(F.sum("n").alias("all")))
     total = sums.agg(F.sum("all")).first()[0] or 0
     tasks = max(1, -(-int(total) // GROUP_SHINGLES) * 4)
@@ -442,18 +458,24 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small = reps.join(sums, "cluster").withColumn("parts", parts).withColumn("own", own)
     pair = F.struct(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     dealt = (small.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("pair", pair)
-             .select("one", "two", "cluster", B.ORDER,
+             .select("one", "two", "cluster", "node", B.ORDER, MARK,
                      F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(tasks)))
                      .otherwise(F.xxhash64("cluster", "pair")).alias("task"),
                      F.when((F.col("own") == F.col("pair.j")) & (F.col("pair.i") < F.col("pair.j")), 1).otherwise(0).alias("side")))
     if dealt.count() <= BROADCAST_ROWS:
         dealt = F.broadcast(dealt)
-    sets = (texts.join(dealt, B.ORDER).select("task", "side", "cluster", "one", "two", B.ORDER, text_col)
-            .mapInArrow(_sets(id_col, text_col, size), "task long, side int, cluster long, rep long, n long, set binary"))
+    sets = (texts.join(dealt, [B.ORDER, MARK]).select("task", "side", "cluster", "node", "one", "two", text_col)
+            .mapInArrow(_sets(text_col, size), "task long, side int, cluster long, node long, n long, set binary"))
     links = sets.groupBy("task").applyInArrow(_compare(percent), "left long, right long")
-    roots = components.smallest(links).select(F.col("node").alias(B.ORDER), "root")
-    of_class = classes.drop("n").join(roots, B.ORDER, "left").select(
-        "one", "two", F.coalesce("root", B.ORDER).alias("root"))
+    roots = components.smallest(links)
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    joined = saved(reps.join(roots, "node").select("one", "two", "root", B.ORDER))
+    low = joined.groupBy("root").agg(F.min(B.ORDER).alias("low"))
+    if low.count() <= BROADCAST_ROWS:
+        low = F.broadcast(low)
+    of_class = classes.select("one", "two", B.ORDER).join(
+        joined.join(low, "root").select("one", "two", "low"), ["one", "two"], "left").select(
+        "one", "two", F.coalesce("low", B.ORDER).alias("root"))
     found = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col(B.ORDER))
     return prints.join(of_class, ["one", "two"], "left").select(
         F.when(F.col(B.ORDER) < B.LAST, F.col(B.ORDER)).alias(id_col), F.col("n").alias("n_shingles"),

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from runlens.llm import components, radix, rlz, sigtree
 from runlens.llm import textops as T
 from tests.llm.conftest import LAST, order_of
@@ -108,6 +109,31 @@ def test_join_matches_brute_force(docs, corpus, size, percent, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_texts_under_one_id_are_linked_apart(spark, most, monkeypatch):
+    monkeypatch.setattr(sigtree, "BROADCAST_ROWS", most)
+    words = [[f"{c}{i}" for i in range(60)] for c in "abcdef"]
+
+    def near(w, k=1):
+        return " ".join([*w[:-k], *["other"] * k])
+
+    a, b, c, d, e, f = (" ".join(w) for w in words)
+    rows = [(5, a), (None, near(words[0])), (None, b), (None, near(words[1])), (7, c), (9, near(words[2])), (9, d), (11, near(words[3])),
+            (None, e), (None, e), (3, f), (3, f), (12, e + " more")]
+    want = [(3, 3), (3, 3), (5, 5), (7, 7), (9, 7), (9, 9), (11, 9), (12, 12), (LAST, 5), (LAST, 12), (LAST, 12), (LAST, LAST), (LAST, LAST)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sigtree.link_documents(docs).collect()
+    assert sorted((order_of(r.doc_id), order_of(r.component_id)) for r in got) == want
+
+
+def test_one_id_does_not_drop_unlinked_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a, "en", "s", 1), (None, a + " more", "en", "s", 1), (None, b, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.text for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert b in kept and a in kept
+
+
 def test_tree_finds_every_component():
     rng = np.random.default_rng(5)
     base = [np.unique(rng.integers(0, 1 << 40, 60).astype(np.uint64)) for _ in range(8)]
