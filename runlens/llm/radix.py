@@ -12,8 +12,10 @@ stand alone after a pass drop out.  Each chunk is told, for each of its
 runs, which windows start earlier elsewhere.
 
 Entries go to their block once per chunk (see ``blocks``).  An anchor with
-very many *different* contexts (over all data) is the one case that grows a
-block; its runs take ``length`` + 70 bytes each.
+more than ``HOT_RUNS`` runs over all data (a common line between different
+neighbours) is not sorted in one block: each of its windows goes to the block
+that its own 64-bit print names, once per chunk, so equal windows still meet
+and the anchor's others are spread over all blocks.
 
 Cases: null text is empty; matches never cross rows; repeated ids are
 ordered by text, and of rows with equal ids the earlier one counts as
@@ -34,6 +36,7 @@ from runlens.llm import textops as T
 
 RESULT = ("n_bytes", "n_removed", "n_spans", "kept_bytes", "spans")
 COLS = {"keys": T.U64, "docs": np.int64, "prints": T.U64, "sizes": np.uint16, "leads": np.uint16}
+HOT_RUNS = 20_000
 
 
 def _gram(length: int) -> int:
@@ -47,25 +50,46 @@ def _runs(table: pa.Table, text_col: str, length: int):
 
 
 def _send_anchors(text_col: str, length: int, n_blocks: int):
+    """The chunk's anchors, and how many runs each has there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys = [sw.anchor for *_, sw in _runs(table, text_col, length)]
+        keys, many = np.unique(np.concatenate(keys) if keys else np.zeros(0, T.U64), return_counts=True)
+        many = np.minimum(many, (1 << 16) - 1).astype(np.uint16)
+        return B.deal(keys, table.column(B.CHUNK)[0].as_py(), {"keys": keys, "many": many}, n_blocks)
+
+    return run
+
+
+def _shared_anchors(most: int):
+    """Block step: anchors that two chunks or more have, to each of them, and
+    whether there are more than ``most`` runs of it."""
+
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.unique(sw.anchor) for *_, sw in _runs(table, text_col, length)]
-        keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, T.U64)
-        return B.deal(keys, table.column(B.CHUNK)[0].as_py(), {"keys": keys}, n_blocks)
+        keys, many = B.gathered(table, "keys", T.U64), B.gathered(table, "many", np.uint16)
+        sender = np.repeat(table.column(B.CHUNK).to_numpy(), B.counts(table, "keys", 8))
+        _, place, chunks = np.unique(keys, return_inverse=True, return_counts=True)
+        hot = (np.bincount(place, weights=many) > most).astype(np.uint8)
+        hit = chunks[place] > 1
+        return B.answers(sender[hit], {"keys": keys[hit], "hot": hot[place[hit]]})
 
     return run
 
 
 def _send_runs(text_col: str, length: int, n_blocks: int):
     """The chunk's distinct runs with a shared anchor, each with its first
-    document and its bytes."""
+    document and its bytes; of hot anchors the distinct windows, each with
+    its first document."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         empty = {k: np.zeros(0, d) for k, d in COLS.items()}
         if table.num_rows == 0:
-            return _deal_runs(empty, [], 0, n_blocks)
+            return _with_windows(_deal_runs(empty, [], 0, n_blocks), empty["keys"], empty["docs"], 0, n_blocks)
         table = B.sorted_rows(table, text_col)
         order = table.column(B.ORDER).to_numpy()
-        shared = np.sort(B.gathered(told, "keys", T.U64))
+        shared, hot = B.gathered(told, "keys", T.U64), B.gathered(told, "hot", np.uint8) > 0
+        shared, hot = np.sort(shared[~hot]), np.sort(shared[hot])
+        windows, owners = [empty["keys"]], [empty["docs"]]
         got: dict[str, list] = {k: [] for k in COLS}
         texts: list[bytes] = []
         for first, data, _, row, sw in _runs(table, text_col, length):
@@ -75,16 +99,33 @@ def _send_runs(text_col: str, length: int, n_blocks: int):
             _, one = np.unique(prints, return_index=True)
             for k, v in zip(COLS, (sw.anchor[pick], order[first + row[start]], prints, size, sw.lead[pick])):
                 got[k].append(v[one].astype(COLS[k]))
+            if len(hot):
+                at, _ = sw.windows(np.flatnonzero(T.is_in(sw.anchor, hot)))
+                mark, spot = np.unique(sw.prints(at), return_index=True)
+                windows.append(mark)
+                owners.append(order[first + row[at[spot]]])
             raw = data.tobytes()
             texts += [raw[a:a + z] for a, z in zip(start[one].tolist(), size[one].tolist())]
         cols = {k: np.concatenate(v) if v else empty[k] for k, v in got.items()}
         _, one = np.unique(cols["prints"], return_index=True)
-        return _deal_runs({k: v[one] for k, v in cols.items()}, [texts[i] for i in one.tolist()],
-                          table.column(B.CHUNK)[0].as_py(), n_blocks)
+        chunk = table.column(B.CHUNK)[0].as_py()
+        out = _deal_runs({k: v[one] for k, v in cols.items()}, [texts[i] for i in one.tolist()], chunk, n_blocks)
+        # parts come in order of documents: the first of equal windows has the smallest
+        windows, one = np.unique(np.concatenate(windows), return_index=True)
+        return _with_windows(out, windows, np.concatenate(owners)[one], chunk, n_blocks)
 
     return run
 
 
+def _with_windows(out: pa.Table, windows: np.ndarray, docs: np.ndarray, chunk: int, n_blocks: int) -> pa.Table:
+    more = B.deal(windows, chunk, {"windows": windows, "owners": docs}, n_blocks)
+    for name in ("windows", "owners"):
+        out = out.append_column(name, pa.array([b""] * out.num_rows, pa.binary()))
+    for name in (*COLS, "bytes"):
+        more = more.append_column(name, pa.array([b""] * more.num_rows, pa.binary()))
+    return pa.concat_tables([out, more.select(out.column_names)])
+
+
 def _deal_runs(cols: dict, texts: list[bytes], chunk: int, n_blocks: int) -> pa.Table:
     # by block, as deal() orders its entries
     block = (cols["keys"] >> T.U64(17)) % T.U64(n_blocks)
@@ -181,11 +222,21 @@ def _sort_block(length: int):
             rows[c][1].append(np.packbits(bits).tobytes())
         right = {c: (np.array(p, T.U64).tobytes(), b"".join(b)) for c, (p, b) in rows.items()}
         fulls = dict(zip(left.column(B.CHUNK).to_pylist(), left.column("full").to_pylist()))
-        chunks = sorted({*fulls, *right})
+        # single windows of hot anchors that an earlier document has
+        prints, docs = B.gathered(table, "windows", T.U64), B.gathered(table, "owners", np.int64)
+        sender = np.repeat(table.column(B.CHUNK).to_numpy(), B.counts(table, "windows", 8))
+        _, place = np.unique(prints, return_inverse=True)
+        low = np.full(int(place.max()) + 1 if len(place) else 0, B.LAST, np.int64)
+        np.minimum.at(low, place, docs)
+        late = docs > low[place]
+        told = B.answers(sender[late], {"windows": prints[late]})
+        lates = dict(zip(told.column(B.CHUNK).to_pylist(), told.column("windows").to_pylist()))
+        chunks = sorted({*fulls, *right, *lates})
         return pa.table({B.CHUNK: pa.array(chunks, pa.int64()),
                          "full": pa.array([fulls.get(c, b"") for c in chunks], pa.binary()),
                          "part": pa.array([right.get(c, (b"", b""))[0] for c in chunks], pa.binary()),
-                         "bits": pa.array([right.get(c, (b"", b""))[1] for c in chunks], pa.binary())})
+                         "bits": pa.array([right.get(c, (b"", b""))[1] for c in chunks], pa.binary()),
+                         "windows": pa.array([lates.get(c, b"") for c in chunks], pa.binary())})
 
     return run
 
@@ -194,6 +245,7 @@ def _apply(text_col: str, length: int, names: list[str]):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         table = B.sorted_rows(table, text_col)
         full = np.sort(B.gathered(told, "full", T.U64))
+        alone = np.sort(B.gathered(told, "windows", T.U64))
         part = {}
         for keys, bits in zip(told.column("part").to_pylist(), told.column("bits").to_pylist()):
             part.setdefault("k", []).append(np.frombuffer(keys, T.U64))
@@ -227,6 +279,9 @@ def _apply(text_col: str, length: int, names: list[str]):
                 a = size_of["place"][k]
                 bits = np.unpackbits(part_bits[a:a + (int(sw.count[j]) + 7) // 8])[:int(sw.count[j])]
                 at.append(sw.start[j] + np.flatnonzero(bits))
+            if len(alone):
+                any_, _ = sw.windows()
+                at.append(any_[T.is_in(sw.prints(any_), alone)])
             at = np.unique(np.concatenate(at)).astype(np.int64)
             cover = np.zeros(len(data) + 1, np.int32)
             np.add.at(cover, at, 1)
@@ -285,13 +340,14 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = B.layout(B.text_bytes(docs, text_col))
     rows = B.chunked(docs, id_col, n)
     deal_ddl = f"block long, {B.CHUNK} long, keys binary"
-    told = (rows.groupBy(B.CHUNK).applyInArrow(_send_anchors(text_col, length, n), deal_ddl)
-            .groupBy("block").applyInArrow(B.shared_keys, f"{B.CHUNK} long, keys binary"))
+    told = (rows.groupBy(B.CHUNK).applyInArrow(_send_anchors(text_col, length, n), deal_ddl + ", many binary")
+            .groupBy("block").applyInArrow(_shared_anchors(HOT_RUNS), f"{B.CHUNK} long, keys binary, hot binary"))
     sent = (rows.groupBy(B.CHUNK).cogroup(told.groupBy(B.CHUNK))
             .applyInArrow(_send_runs(text_col, length, n),
-                          deal_ddl + ", docs binary, prints binary, sizes binary, leads binary, bytes binary"))
+                          deal_ddl + ", docs binary, prints binary, sizes binary, leads binary, bytes binary, "
+                          "windows binary, owners binary"))
     sorted_ = sent.groupBy("block").applyInArrow(_sort_block(length),
-                                                 f"{B.CHUNK} long, full binary, part binary, bits binary")
+                                                 f"{B.CHUNK} long, full binary, part binary, bits binary, windows binary")
     ddl = (B.arrow_schema_ddl(docs) + ", n_bytes long, n_removed long, n_spans long, kept_bytes binary, "
            "spans array<struct<start:long,n_bytes:long>>")
     return rows.groupBy(B.CHUNK).cogroup(sorted_.groupBy(B.CHUNK)).applyInArrow(

@@ -60,6 +60,28 @@ def test_radix_matches_brute_force(docs, corpus):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [20_000, 3, 0])
+def test_radix_over_many_chunks(docs, corpus, most, monkeypatch):
+    monkeypatch.setattr(radix.B, "layout", lambda total: 7)
+    monkeypatch.setattr(radix, "HOT_RUNS", most)
+    test_radix_matches_brute_force(docs, corpus)
+
+
+def test_radix_spreads_the_runs_of_a_common_line(monkeypatch):
+    # a common line between different neighbours: one anchor, a run a document
+    rng, line = np.random.default_rng(2), "a line that all of the documents have, of some length " * 2
+    texts = ["".join(map(chr, rng.integers(97, 123, 120))) + line + "".join(map(chr, rng.integers(97, 123, 120))) for _ in range(60)]
+    tables = [radix.pa.table({radix.B.CHUNK: [c] * 10, radix.B.ORDER: list(range(c * 10, c * 10 + 10)), "text": texts[c * 10:c * 10 + 10]})
+              for c in range(6)]
+    anchors = radix.pa.concat_tables([radix._send_anchors("text", 100, 1)(t) for t in tables])
+    told = radix._shared_anchors(20)(anchors)
+    sent = radix.pa.concat_tables([radix._send_runs("text", 100, 8)(t, told.filter(radix.pa.compute.equal(told.column(radix.B.CHUNK), c)))
+                                   for c, t in enumerate(tables)])
+    assert max(Counter(radix.B.gathered(sent, "keys", np.uint64).tolist()).values(), default=0) <= 20
+    windows = [len(radix.B.gathered(sent.filter(radix.pa.compute.equal(sent.column("block"), b)), "windows", np.uint64)) for b in range(8)]
+    assert min(windows) > 0 and max(windows) < sum(windows) / 3
+
+
 def test_radix_groups_are_the_equal_windows():
     rng = np.random.default_rng(3)
     buf = rng.integers(0, 2, 400).astype(np.uint8)
