@@ -1,13 +1,16 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by an index of phrases, in place of a relative Lempel-Ziv parse.
 
 The reference is the whole corpus, indexed in blocks: a block owns the
 phrases (``length``-word windows) whose fingerprint falls into it, each with
-the smallest document that holds it.  Every document is factored against all
-blocks that could hold one of its phrases: a factor runs on while the next
-phrase is still found in the same reference document; where it ends, the
-phrase that crosses the boundary is looked up as well, so no repeated window
-is lost between two factors.  Factors are at least ``length`` words by
-construction and become duplicate spans.
+the smallest document that holds it.  Every phrase of a document is looked up
+alone; the words of those that a smaller document holds go.  A greedy parse
+would look up the phrases at its factors' boundaries only, and then those
+that cross them; as every phrase counts, looking up all gives the same words
+without positions in the index.  ``factors`` are drawn afterwards: runs of
+phrases with the same smallest document.  They are at least ``length`` words,
+but not greedy (a copied passage is broken where another smaller document
+holds one of its phrases), and each phrase is in ``ref_doc``, the factor as a
+whole need not be there in one piece.
 
 Only phrases whose anchor (see ``textops.SuperWindows``) occurs more than
 once are indexed; the others are unique, so the index stays proportional to
