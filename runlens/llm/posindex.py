@@ -1,13 +1,14 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 DataFrame functions only.  The documents' tokens are numbered; postings
-(term, document, position, with the words around it) are stored for the
-index terms: for every benchmark window its two rarest words by corpus
-count.  A window's candidates come from its rarest word: each posting,
-shifted by the word's offset in the window, names a start; starts that the
-second word's list also names (again shifted) stay, and the words around the
-posting then decide exactly.  Proximity matches use the same postings: both
-rarest words of a window within a distance, in any order.
+(term, document, position, with the words around it) are made for one index
+term of every benchmark window, its rarest word by corpus count; they are not
+saved.  Each posting, shifted by the word's offset in the window, names a
+start; no second posting list is intersected with it: the second rarest word
+and then the whole window are compared with the words that the posting
+carries, which decide exactly without a join of lists.  Proximity matches
+use the same postings: the second rarest word of a window among the carried
+words, in any order.
 
 Scale: the documents are tokenised twice (corpus counts, then postings) and
 never shuffled as text; only postings of rare terms move.  The benchmark's
