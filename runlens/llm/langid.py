@@ -8,9 +8,12 @@ over all its words; the prediction is the best language, its score the
 posterior under equal priors (0 to 1).
 
 The model is fitted on a bounded sample of the labelled documents (about
-``SAMPLE`` of them, chosen by a hash of the id, not by order) and keeps the
-``UNITS`` most frequent words and as many n-grams, so it can be sent to every
-task.  Counting is a Spark aggregation, partial counts first, of words and then
+``SAMPLE`` of them, chosen by a hash of the id, not by order) and keeps about
+``UNITS`` words and as many n-grams, so it can be sent to every task.  Both
+bounds are shared out evenly: each language gives up to its share of the
+sample and its own most frequent units, so a rare one is learned as well as a
+frequent one (with very many languages each still has ``LEAST_SAMPLE`` and
+``LEAST_UNITS``, and the bounds grow).  Counting is a Spark aggregation, partial counts first, of words and then
 of the n-grams of distinct words; prediction is one pass without a shuffle.
 
 Cases: null text, text without a letter, or a model without languages gives
@@ -29,7 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.store import saved, small_batches
@@ -37,6 +40,8 @@ from runlens.llm.vocab import slices
 
 SAMPLE = 20_000
 UNITS = 30_000
+LEAST_SAMPLE, LEAST_UNITS = 1_000, 1_000  # of each language
+BROADCAST_LANGUAGES = 10_000
 LONGEST = 4
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -102,10 +107,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Model from the labelled documents among ``docs``."""
     small_batches(docs)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    n = labelled.select(id_col).count()
-    share = 1_000_000 if n <= sample else int(1_000_000 * sample / n)
-    chosen = labelled.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < share).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    labelled = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                               F.col(text_col).alias("text"))
+    sizes = saved(labelled.groupBy("lang").agg(F.count("*").alias("of")))
+    languages = sizes.count()
+    drawn = max(-(-sample // max(1, languages)), min(sample, LEAST_SAMPLE))
+    kept = max(-(-units // max(1, languages)), min(units, LEAST_UNITS))
+    # the hash against the share of its whole 64-bit range
+    limit = F.when(F.col("of") <= drawn, F.lit((1 << 63) - 1)).otherwise(
+        ((F.lit(2.0 * drawn) / F.col("of") - 1.0) * F.lit(2.0 ** 63)).cast("long"))
+    sizes = sizes.select("lang", limit.alias("limit"))
+    if languages <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
+    chosen = labelled.join(sizes, "lang").where(F.xxhash64("id") <= F.col("limit")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,9 +137,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     pieces = words.select(F.explode(_grams("unit")).alias("unit"), "lang", "n").groupBy("unit", "lang").agg(F.sum("n").alias("n"))
     tables = []
     for counted in (words, pieces):
-        by_unit = counted.groupBy("unit").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        best = by_unit.orderBy(F.desc("total"), "unit").limit(units).collect()
-        tables.append([(r.unit, x.lang, x.n) for r in best for x in r.by])
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "unit"))
+        best = counted.withColumn("rank", rank).where(F.col("rank") <= kept).select("unit").distinct()
+        tables.append([(r.unit, r.lang, r.n) for r in counted.join(best, "unit").orderBy("unit", "lang").collect()])
     languages = sorted({lang for t in tables for _, lang, _ in t})
     return Model(languages, _log_table(tables[0], languages), _log_table(tables[1], languages))
 

@@ -69,6 +69,23 @@ def test_language_on_held_out_rows(spark):
     assert out.where("score < 0 or score > 1").count() == 0
 
 
+def test_a_rare_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LEAST_UNITS", 10, raising=False)
+    often, rare = ["".join(p) for p in zip("abcdefgh" * 5, "ijklmnop" * 4 + "qrstuvwx", "abcde" * 8)], ["zyzy", "yzyy", "zzyz"]
+    rows = [(i, " ".join(often[(i + k) % 40] for k in range(12)), "en") for i in range(2000)]
+    rows += [(10_000 + i, " ".join(rare), "xx") for i in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=100, units=30)
+    assert model.languages == ["en", "xx"] and set(rare) <= set(model.words)
+    assert all(model.words[w][1] > model.words[w][0] for w in rare)
+
+
+def test_a_small_share_is_not_nothing(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LEAST_SAMPLE", 1, raising=False)
+    docs = spark.range(50_000_000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.lit("en").alias("lang"))
+    # less than one in a million
+    assert langid.fit(docs, sample=40).languages == ["en"]
+
+
 def test_language_backs_off_to_shorter_grams():
     model = langid.Model(["a", "b"], {"known": (1.0, -1.0)}, {"^xy$": (3.0, -3.0), "x": (0.0, 2.0), "yz": (5.0, 0.0)})
     assert model.word_score("known") == (1.0, -1.0)
