@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, tokscan, vecpack, vocab
+from runlens.llm import audit, chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, tokscan, vecpack, vocab
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -195,3 +195,39 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of ``documents`` linked by 4-word shingles at a similarity of 0.85."""
     return sigtree.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op11_filter_audit", r"""
+WITH letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(l, bit)),
+perm AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+         WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+step AS (SELECT filter_order, CAST(k AS INTEGER) AS step, l.l AS l, l.bit AS bit,
+                coalesce((SELECT sum(p.bit) FROM letter p WHERE position(p.l IN substr(filter_order, 1, k - 1)) > 0), 0) AS was
+         FROM perm, unnest(range(1, 6)) AS u(k), letter l WHERE l.l = substr(filter_order, k, 1)),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT *, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+said AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN first < coalesce(f.doc_id, 9223372036854775807) THEN 16 ELSE 0 END AS mask
+      FROM f LEFT JOIN said USING (doc_id)),
+cell AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask),
+r AS (SELECT part, filter_order, step, l,
+             sum(CASE WHEN mask & (was + bit) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN mask & was = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN mask & was <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN mask & was = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN mask & was = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM cell, step GROUP BY part, filter_order, step, l)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM r
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters over ``documents`` by source, in every order."""
+    return audit.audit(audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
