@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import audit, chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, tokscan, vecpack, vocab
+from runlens.llm import audit, chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, spelling, tokscan, vecpack, vocab
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -231,3 +231,9 @@ FROM r
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of five filters over ``documents`` by source, in every order."""
     return audit.audit(audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@register("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents``, their near words and the forms they vary."""
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
