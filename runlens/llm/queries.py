@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import audit, chat, langid, maglev, posindex, radix, riskrules, rlz, sigtree, spelling, tokscan, vecpack, vocab
+from runlens.llm import audit, chat, langid, maglev, permindex, posindex, radix, riskrules, rlz, sigtree, spelling, tokscan, vecpack, vocab
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -237,3 +237,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of ``documents``, their near words and the forms they vary."""
     return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@register("op12_nearest_vectors")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth of ``embeddings``."""
+    index = permindex.build(table(spark, sf_dir, "embeddings"))
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return permindex.search(index, F.col("id") % 20 == 0).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
