@@ -20,14 +20,14 @@ def test_query(spark, key):
     if key in ORACLE:
         r = compare(df, duckdb_conn(SF_SMALL), ORACLE[key])
         assert r["ok"], r
-    else:  # compared with brute force in test_text
+    elif not key.startswith(("op12_", "op13_")):  # compared with brute force in their own tests
         assert df.count() >= spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = entry_mod.queries()
     assert "pipeline" in names
-    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
+    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14))
 
 
 def near(rows):
