@@ -233,7 +233,30 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
-@register("op13_spelling_variants")
+@register("op13_spelling_variants", r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+                    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+run AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+held AS (SELECT doc_id, w, count(*) AS n FROM run WHERE length(w) >= 7 GROUP BY doc_id, w),
+h AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+                    string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''),
+                    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END))),
+                    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) AS h FROM held, crc),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gap AS (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM v, unnest(range(0, length(word))) AS u(i)),
+near AS (SELECT x.word, y.word AS other, y.n AS m FROM gap x JOIN gap y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION SELECT x.word, y.word, y.n FROM gap x JOIN v y ON x.a || x.b = y.word
+         UNION SELECT y.word, x.word, x.n FROM gap x JOIN v y ON x.a || x.b = y.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+f AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form,
+             CASE WHEN m >= 10 * n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+way AS (SELECT word, form AS at FROM f WHERE form IS NOT NULL
+        UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.at WHERE f.form IS NOT NULL),
+root AS (SELECT way.word, way.at AS root FROM way JOIN f ON f.word = way.at WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN root USING (word)
+""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of ``documents``, their near words and the forms they vary."""
     return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
