@@ -214,22 +214,67 @@ def merge_app_doc(attempts: DataFrame, executors: DataFrame, stages: DataFrame,
     return out
 
 
-def documents_to_tables(apps: DataFrame, attempts_col: str = "attempts") -> tuple[DataFrame, DataFrame, DataFrame]:
+def with_typed_properties(df: DataFrame, props_col: str, out: str, casts: dict[str, list[str]] = PROPERTY_CASTS) -> DataFrame:
+    """P3 step 2 for all keys of the cast table: the properties of one kind
+    are cast by one expression over their part of the map, and the struct
+    picks its fields from these (a cast for each of some fifty keys makes
+    code that does not compile)."""
+    kinds = {kind: (names, _CASTERS[kind]) for kind, names in casts.items()}
+    exact = [n for names in casts.values() for n in names if n.endswith("-ms")]
+    kinds["exact_ms"] = (exact, lambda c: parse_ms(c, default_multiplier=1))
+    staged = df.withColumns({
+        f"__{kind}": F.transform_values(F.map_filter(F.col(props_col), lambda k, v: k.isin(*names)), lambda k, v: cast(v))
+        for kind, (names, cast) in kinds.items() if names})
+    fields = [F.element_at(f"__{'exact_ms' if n in exact else kind}", F.lit(n)).alias(n) for kind, names in casts.items() for n in names]
+    return staged.withColumn(out, F.struct(*fields)).drop(*[f"__{kind}" for kind in kinds])
+
+
+def with_environment(df: DataFrame, source: Column, env_type: T.StructType) -> DataFrame:
+    """P4 for an environment inside a document: adds ``environment`` with the
+    properties as a map (listed keys dropped), the typed struct, and the
+    runtime without its home."""
+    staged = df.withColumn("__props", drop_map_keys(property_map(source["sparkProperties"]), DROP_KEYS["sparkProperties"]))
+    staged = with_typed_properties(staged, "__props", "__typed")
+    fields = [F.col("__props").alias("sparkProperties"), F.col("__typed").alias("typedProperties")]
+    if "runtime" in env_type.fieldNames():
+        runtime = source["runtime"]
+        if "javaHome" in env_type["runtime"].dataType.fieldNames():
+            runtime = runtime.dropFields("javaHome")
+        fields.append(runtime.alias("runtime"))
+    return staged.withColumn("environment", F.when(source.isNotNull(), F.struct(*fields))).drop("__props", "__typed")
+
+
+def uncast_properties(props: Column, casts: dict[str, list[str]] = PROPERTY_CASTS) -> Column:
+    """The int and float properties whose text is no number, as an array
+    of (key, value) structs."""
+    def is_bad(entry: Column) -> Column:
+        out = F.lit(False)
+        for kind in ("int", "float"):
+            out = out | (entry["key"].isin(*casts[kind]) & entry["value"].isNotNull() & _CASTERS[kind](entry["value"]).isNull())
+        return out
+
+    return F.filter(F.map_entries(props), is_bad)
+
+
+def documents_to_tables(apps: DataFrame, attempts_col: str = "attempts",
+                        environment: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P5: nested application documents -> (attempts, executors, stages)
     flat tables keyed by (app_id, attempt_id), times parsed, listed fields
-    dropped.  Each ``explode`` works inside one document's row."""
+    dropped.  Each ``explode`` works inside one document's row.  With
+    ``environment`` the attempts keep theirs, cleaned and typed (P4)."""
     flat = flatten_attempts(apps, attempts_col)
     base = flat.select(
         F.col("id").alias("app_id"), attempt_key(F.col("attempt.attemptId")).alias("attempt_id"), "name",
         "attempt_pos", "isFinalAttempt", "attempt",
     )
-    at_fields = [f for f in apps.schema[attempts_col].dataType.elementType.fieldNames()
-                 if f not in ("allexecutors", "stages", "environment", "attemptId")]
+    element = apps.schema[attempts_col].dataType.elementType
+    at_fields = [f for f in element.fieldNames() if f not in ("allexecutors", "stages", "environment", "attemptId")]
+    rows, columns = base, [F.col("attempt")[f].alias(f) for f in at_fields]
+    if environment and "environment" in element.fieldNames():
+        rows = with_environment(base, F.col("attempt.environment"), element["environment"].dataType)
+        columns.append(F.col("environment"))
     attempts = parse_time_fields(
-        base.select("app_id", "attempt_id", "name", "attempt_pos", "isFinalAttempt",
-                    *[F.col("attempt")[f].alias(f) for f in at_fields]),
-        "attempt",
-    )
+        rows.select("app_id", "attempt_id", "name", "attempt_pos", "isFinalAttempt", *columns), "attempt")
     ex = base.select("app_id", "attempt_id", F.explode("attempt.allexecutors").alias("e")).select("app_id", "attempt_id", "e.*")
     st = base.select("app_id", "attempt_id", F.explode("attempt.stages").alias("s")).select("app_id", "attempt_id", "s.*")
     executors = drop_fields(parse_time_fields(ex, "executor"), "executor")

@@ -194,6 +194,43 @@ def apps_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("app_id").alias("id"), "name", "host", "user", attempts.alias("attempts"))
 
 
+def landed_v(spark: SparkSession, sf_dir: str, listing: int) -> DataFrame:
+    """Whole application documents (executors, stages, environment) as two
+    listings land them.  The first has the first attempt of two thirds of the
+    applications, every fourth application twice; the second has all
+    applications with all attempts, but only the newest one where the order
+    key divides by 27."""
+    a = apps_v(spark, sf_dir).withColumn("__k", F.substring_index("id", "_", -1).cast("bigint"))
+    k = F.col("__k")
+
+    def pair(key, value):
+        return F.array(F.lit(key), value.cast("string"))
+
+    def whole(x):
+        driver = F.struct(F.lit("driver").alias("id"), x["startTime"].alias("addTime"), F.lit(1).alias("totalCores"),
+                          F.lit(1 << 30).cast("bigint").alias("maxMemory"), F.lit(0).cast("bigint").alias("totalDuration"))
+        worker = F.struct(F.lit("1").alias("id"), x["startTime"].alias("addTime"), (1 + k % 4).cast("int").alias("totalCores"),
+                          ((1 + k % 8) * (1 << 30)).cast("bigint").alias("maxMemory"), (x["duration"] * (1 + k % 2)).alias("totalDuration"))
+        both = F.transform(F.array(driver, worker), lambda e: e.withField("totalInputBytes", k * 1024).withField("removeTime", x["endTime"])
+                           .withField("memoryMetrics", F.struct((k * 10).alias("usedOnHeapStorageMemory"))))
+        stage = F.struct(
+            F.lit(0).alias("stageId"), F.lit(0).alias("attemptId"), x["startTime"].alias("submissionTime"),
+            x["startTime"].alias("firstTaskLaunchedTime"), x["endTime"].alias("completionTime"), (k * 1024).alias("inputBytes"),
+            k.alias("inputRecords"), (k * 512).alias("outputBytes"), (k * 1000).alias("executorCpuTime"), F.lit(1).alias("numCompleteTasks"))
+        properties = F.array(pair("spark.executor.memory", F.concat((1 + k % 8).cast("string"), F.lit("g"))),
+                             pair("spark.executor.cores", F.when(k % 10 == 0, F.lit("many")).otherwise((1 + k % 4).cast("string"))))
+        return (x.withField("completed", F.lit(True)).withField("allexecutors", both).withField("stages", F.array(stage))
+                .withField("environment", F.struct(properties.alias("sparkProperties"))))
+
+    docs = a.withColumn("attempts", F.transform("attempts", whole))
+    if listing == 1:
+        docs = docs.where(k % 3 != 2).withColumn("attempts", F.slice("attempts", F.size("attempts"), 1))
+        docs = docs.withColumn("__n", F.explode(F.sequence(F.lit(1), F.when(k % 4 == 0, 2).otherwise(1))))
+    else:
+        docs = docs.withColumn("attempts", F.when(k % 27 == 0, F.slice("attempts", 1, 1)).otherwise(F.col("attempts")))
+    return docs.select("id", "name", "host", "attempts")
+
+
 # ---------------------------------------------------------------------------
 # environment / Spark properties
 # ---------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL options the operators rely on.  All are runtime (session) options.
 REQUIRED_CONF = {
@@ -54,6 +54,13 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """The DataFrame, computed now and kept in the shared checkpoint folder:
+    several readers compute it once, and no lost executor computes it again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name: str = "runlens") -> SparkSession:
     """Local session for tests and benchmarks (UI off, AQE on)."""
     builder = (
