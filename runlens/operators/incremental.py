@@ -142,7 +142,7 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Dat
     keys = [key] if isinstance(key, str) else key
     payload = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order])).alias("__row")
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), F.struct(*[F.col(f"`{c}`") for c in order])).alias("__row")
     )
     return best.select(*keys, "__row.*")
 

@@ -6,13 +6,16 @@ chosen by the column's type.  Catalyst prunes every aggregate a consumer does
 not select, and Spark splits the aggregate into a map-side partial and a
 final step, so only one row per group and map task is shuffled.
 
+Structs are flattened to dotted columns first (lists and maps are left out).
+
 Distinct counts (``nunique``) default to ``"exact"``: they are computed
-apart from the other aggregates, by unpivoting the numeric columns into
-(keys, column, value) rows, deduplicating those (a map-side partial
-aggregate, then a shuffle on the whole triple, so a group holding a third
-of all rows is still spread over many tasks), counting per (keys, column)
-and pivoting back to one row per group, which is joined to the other
-aggregates on the group keys.  Spark's own plan for several
+apart from the other aggregates, by turning the numeric columns into one long
+relation (keys, column number, value), each value in the column of its own
+kind (BIGINT, DOUBLE, decimals as text), deduplicating that once (a map-side
+partial aggregate, then a shuffle on the whole row, so a group holding a
+third of all rows is still spread over many tasks), and counting each
+column's rows straight into one row per group, which is joined to the other
+aggregates on the group keys: two exchanges, whatever the number of columns.  Spark's own plan for several
 ``count(DISTINCT)`` in one aggregate (an ``Expand`` that copies every row
 once per distinct column and carries every other aggregation buffer along)
 measured about 3.5x slower on sf0.1 stages.  ``nunique="approx"`` uses
@@ -38,11 +41,15 @@ def _present(c: Column, value: Column) -> Column:
     return F.when(F.count(c) > 0, value)
 
 
+def exact_nunique(c: Column) -> Column:
+    """Stands for the exact distinct count in a type table; computed by
+    ``distinct_counts``.  As a plain expression it is what Spark would do."""
+    return _present(c, F.count_distinct(c))
+
+
 def _nunique(mode: str) -> AggFn | None:
     if mode == "exact":
-        # marker: computed by distinct_counts (see module doc); this form is
-        # only used when a caller asks for the plain aggregate expression
-        return lambda c: _present(c, F.count_distinct(c))
+        return exact_nunique
     if mode == "approx":
         return lambda c: _present(c, F.approx_count_distinct(c))
     if mode == "set":
@@ -129,27 +136,65 @@ def aggregate_exprs(
     return [e for _, e in aggregate_specs(schema, exclude, type_aggs, prefix)]
 
 
+def flattened(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Structs as dotted columns, at any depth (``keep``: names left as they
+    are); lists and maps stay opaque."""
+    keep = set(keep)
+    if not any(isinstance(f.dataType, T.StructType) and f.name not in keep for f in df.schema.fields):
+        return df
+
+    def walk(name: str, c: Column, kind: T.DataType) -> list[Column]:
+        if not isinstance(kind, T.StructType):
+            return [c.alias(name)]
+        return [x for f in kind.fields for x in walk(f"{name}.{f.name}", c.getField(f.name), f.dataType)]
+
+    return df.select(*[x for f in df.schema.fields for x in (
+        [F.col(f"`{f.name}`")] if f.name in keep else walk(f.name, F.col(f"`{f.name}`"), f.dataType))])
+
+
+VALUE_KINDS = {"__b": "bigint", "__d": "double", "__x": "string"}
+
+
+def _value_kind(kind: T.DataType) -> str:
+    """Where a value of the type lies unchanged: decimals of one column have
+    one scale, so their text tells them apart exactly."""
+    return "__b" if isinstance(kind, T.IntegralType) else "__x" if isinstance(kind, T.DecimalType) else "__d"
+
+
+def distinct_cells(df: DataFrame, keys: list[str], cols: list[str], first: int = 0) -> DataFrame:
+    """(keys, __c, __b, __d, __x): one row per non-NULL value, numbered by
+    column from ``first`` on."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+
+    def cell(i: int, name: str) -> Column:
+        own = _value_kind(fields[name])
+        return F.struct(F.lit(i).alias("__c"), *[
+            (F.col(f"`{name}`").cast(typ) if kind == own else F.lit(None).cast(typ)).alias(kind) for kind, typ in VALUE_KINDS.items()])
+
+    cells = F.array(*[cell(i, c) for i, c in enumerate(cols, first)])
+    return df.select(*keys, F.inline(cells)).where("__b is not null or __d is not null or __x is not null")
+
+
+def count_cells(cells: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """One row per group: the distinct cells of every column, NULL for none."""
+    return cells.distinct().groupBy(*keys).agg(
+        *[F.nullif(F.count_if(F.col("__c") == i), F.lit(0).cast("bigint")).alias(n) for i, n in enumerate(names)])
+
+
 def distinct_counts(df: DataFrame, keys: list[str], cols: list[str], prefix: str = "") -> DataFrame:
     """Exact number of distinct non-NULL values of each of ``cols`` per group,
     as ``<prefix><col>_nunique`` columns (see the module doc for the plan).
-    Integral columns are compared as BIGINT, the others as DOUBLE, each type
-    group unpivoted separately so no value changes on the way."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    integral = [c for c in cols if isinstance(fields[c], T.IntegralType)]
-    other = [c for c in cols if c not in integral]
-    parts = []
-    for group, typ in ((integral, "bigint"), (other, "double")):
-        if not group:
-            continue
-        cells = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(f"`{c}`").cast(typ).alias("__v")) for i, c in enumerate(group)])
-        cells_long = df.select(*keys, F.inline(cells)).where(F.col("__v").isNotNull())
-        per_col = cells_long.distinct().groupBy(*keys, "__c").agg(F.count(F.lit(1)).alias("__n"))
-        parts.append(per_col.groupBy(*keys).agg(
-            *[F.max(F.when(F.col("__c") == i, F.col("__n"))).alias(f"{prefix}{c}_nunique") for i, c in enumerate(group)]
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, keys, "full")
+    Values keep their own type: BIGINT, DOUBLE, or a decimal's text."""
+    return count_cells(distinct_cells(df, keys, cols), keys, [f"{prefix}{c}_nunique" for c in cols])
+
+
+def _exact_columns(schema: T.StructType, skip: set[str], type_aggs) -> list[str]:
+    """Numeric columns whose type table asks for the exact distinct count."""
+    out = []
+    for field in schema.fields:
+        aggs = next((a for types, a in type_aggs if field.name not in skip and isinstance(field.dataType, types)), {})
+        if aggs.get("nunique") is exact_nunique and isinstance(field.dataType, T.NumericType):
+            out.append(field.name)
     return out
 
 
@@ -159,10 +204,12 @@ def _with_exact_nunique(aggregated: DataFrame, source: DataFrame, keys: list[str
     the column order (a group without values for a column has no count:
     NULL, like every other aggregate of that column)."""
     if not cols:
-        return aggregated.select(*order)
-    dc = distinct_counts(source, keys, cols, prefix)
-    joined = aggregated.join(dc, keys, "left")
-    return joined.select(*[F.col(f"`{n}`") for n in order])
+        return aggregated.select(*[F.col(f"`{n}`") for n in order])
+    return _counted(aggregated, distinct_counts(source, keys, cols, prefix), keys, order)
+
+
+def _counted(aggregated: DataFrame, counts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    return aggregated.join(counts, keys, "left").select(*[F.col(f"`{n}`") for n in order])
 
 
 def typed_aggregate(
@@ -180,26 +227,24 @@ def typed_aggregate(
     its aggregates omitted (counts included), so an empty group has only
     ``elements_count``.
     """
-    split = type_aggs is None and nunique == "exact"
     if type_aggs is None:
         type_aggs = default_type_aggs(nunique)
     skip = set(keys) | set(exclude)
-    if not split:
-        exprs = aggregate_exprs(df.schema, exclude=skip, type_aggs=type_aggs, prefix=prefix)
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(prefix + "elements_count"), *exprs)
+    df = flattened(df, skip)
+    exact = _exact_columns(df.schema, skip, type_aggs)
+    plain = _without_exact(type_aggs)
+    exprs = aggregate_exprs(df.schema, exclude=skip, type_aggs=plain, prefix=prefix)
+    aggregated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(prefix + "elements_count"), *exprs)
+    if not exact:
+        return aggregated
     order = [*keys, prefix + "elements_count"] + [
         n for n, _ in aggregate_specs(df.schema, exclude=skip, type_aggs=type_aggs, prefix=prefix)
     ]
-    plain = _without_nunique(type_aggs)
-    exprs = aggregate_exprs(df.schema, exclude=skip, type_aggs=plain, prefix=prefix)
-    aggregated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(prefix + "elements_count"), *exprs)
-    num_cols = [f.name for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, T.NumericType)]
-    return _with_exact_nunique(aggregated, df.select(*keys, *[F.col(f"`{c}`") for c in num_cols]), keys, num_cols,
-                               prefix, order)
+    return _with_exact_nunique(aggregated, df.select(*keys, *[F.col(f"`{c}`") for c in exact]), keys, exact, prefix, order)
 
 
-def _without_nunique(type_aggs):
-    return [(types, {k: v for k, v in aggs.items() if k != "nunique"}) for types, aggs in type_aggs]
+def _without_exact(type_aggs):
+    return [(types, {k: v for k, v in aggs.items() if v is not exact_nunique}) for types, aggs in type_aggs]
 
 
 def typed_aggregate_long(wide: DataFrame, keys: list[str], entity: str) -> DataFrame:
@@ -217,7 +262,8 @@ def typed_aggregate_long(wide: DataFrame, keys: list[str], entity: str) -> DataF
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             col = F.unix_millis(col.cast("timestamp"))
         casted.append(col.cast("double").alias(f.name))
-    long = wide.select(*keys, *casted).unpivot(keys, value_cols, "name", "value").where(F.col("value").isNotNull())
+    values = [F.col(f"`{c}`") for c in value_cols]
+    long = wide.select(*keys, *casted).unpivot([F.col(k) for k in keys], values, "name", "value").where(F.col("value").isNotNull())
     split_at = F.regexp_extract("name", r"^(.*)_(min|max|sum|mean|nunique|count_zeroes|count_not_null|any|all)$", 1)
     agg = F.regexp_extract("name", r"^(.*)_(min|max|sum|mean|nunique|count_zeroes|count_not_null|any|all)$", 2)
     return long.select(
@@ -240,6 +286,14 @@ def executor_aggregate(
     Done in a single aggregation: every non-driver aggregate reads its column
     masked to NULL on driver rows, so executors are shuffled once.
     """
+    aggregated, others, exact, order = executor_parts(executors, keys, order_col, nunique)
+    return _with_exact_nunique(aggregated, others, keys, exact, "executors_", order)
+
+
+def executor_parts(executors: DataFrame, keys: list[str], order_col: str | None = None,
+                   nunique: str = "exact") -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """What ``executor_aggregate`` is made of: the aggregates without exact
+    distinct counts, the rows and columns to count, and the final columns."""
     is_driver = F.col("id") == F.lit("driver")
     payload = [c for c in executors.columns if c not in keys]
     atomic = [
@@ -248,30 +302,24 @@ def executor_aggregate(
         if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
     ]
     order = F.struct(F.col(order_col or "addTime"), *[F.col(f"`{c}`") for c in atomic])
-    masked = executors.select(
-        *keys,
-        *[F.when(~is_driver, F.col(f"`{c}`")).alias(c) for c in payload],
+    split = executors.select(
+        "*",
         F.when(is_driver, F.struct(*[F.col(f"`{c}`") for c in payload])).alias("__driver"),
         F.when(is_driver, order).alias("__driver_order"),
         is_driver.alias("__is_driver"),
     )
-    skip = set(keys) | {"id"}
+    own = {"__driver", "__driver_order", "__is_driver"}
+    flat = flattened(split, own)
+    skip = set(keys) | {"id"} | own
+    masked = flat.select(*keys, *own, *[F.when(~F.col("__is_driver"), F.col(f"`{c}`")).alias(c)
+                                        for c in flat.columns if c not in keys and c not in own])
     type_aggs = default_type_aggs(nunique)
-    specs = aggregate_specs(executors.schema, exclude=skip, type_aggs=type_aggs, prefix="executors_")
-    exprs = [e for _, e in specs]
-    if nunique != "exact":
-        return masked.groupBy(*keys).agg(
-            F.count_if(~F.col("__is_driver")).alias("executors_elements_count"),
-            *exprs,
-            F.max_by("__driver", "__driver_order").alias("driver"),
-        )
-    out_order = [*keys, "executors_elements_count"] + [n for n, _ in specs]
-    plain = aggregate_exprs(executors.schema, exclude=skip, type_aggs=_without_nunique(type_aggs), prefix="executors_")
+    names = [n for n, _ in aggregate_specs(flat.schema, exclude=skip, type_aggs=type_aggs, prefix="executors_")]
     aggregated = masked.groupBy(*keys).agg(
         F.count_if(~F.col("__is_driver")).alias("executors_elements_count"),
-        *plain,
+        *aggregate_exprs(flat.schema, exclude=skip, type_aggs=_without_exact(type_aggs), prefix="executors_"),
         F.max_by("__driver", "__driver_order").alias("driver"),
     )
-    num_cols = [f.name for f in executors.schema.fields if f.name not in skip and isinstance(f.dataType, T.NumericType)]
-    others = executors.where(~is_driver).select(*keys, *[F.col(f"`{c}`") for c in num_cols])
-    return _with_exact_nunique(aggregated, others, keys, num_cols, "executors_", [*out_order, "driver"])
+    exact = _exact_columns(flat.schema, skip, type_aggs)
+    others = flat.where(~F.col("__is_driver")).select(*keys, *[F.col(f"`{c}`") for c in exact])
+    return aggregated, others, exact, [*keys, "executors_elements_count", *names, "driver"]

@@ -21,9 +21,12 @@ ORACLE: dict[str, str] = {}
 
 
 def round4(c):
-    """Round a DOUBLE to 4 places with plain IEEE steps (x*1e4 + 0.5, floor,
-    /1e4) so another engine taking the same steps gets the identical double."""
-    scaled = F.floor(c * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
+    """Round a DOUBLE to 4 places with plain IEEE steps (x*1e4 + 0.500001,
+    floor, /1e4) so another engine taking the same steps gets the identical
+    double.  The slack rounds a mean that lies on a tie up also where the
+    order of summation left it one unit below.  From 1e14 on a DOUBLE has no
+    fourth place, and is returned as it is."""
+    scaled = F.floor(c * F.lit(10000.0) + F.lit(0.500001)).cast("double") / F.lit(10000.0)
     return F.when(F.abs(c) < F.lit(1e14), scaled).otherwise(c)
 
 

@@ -245,10 +245,10 @@ def with_views(sql: str) -> str:
 
 
 def r4(expr: str) -> str:
-    """Round to 4 places with plain IEEE steps (x*1e4 + 0.5, floor, /1e4), the
+    """Round to 4 places with plain IEEE steps (x*1e4 + 0.500001, floor, /1e4), the
     same steps ``catalog.rounded`` takes in Spark, so both engines produce
     bit-identical doubles (their own ``round`` functions differ on ties)."""
-    return f"(CASE WHEN abs({expr}) < 1e14 THEN floor(({expr}) * 10000.0 + 0.5) / 10000.0 ELSE ({expr}) END)"
+    return f"(CASE WHEN abs({expr}) < 1e14 THEN floor(({expr}) * 10000.0 + 0.500001) / 10000.0 ELSE ({expr}) END)"
 
 
 def _pick_sql(idx: str, values: list[str], custom: dict[str, str] | None = None) -> str:

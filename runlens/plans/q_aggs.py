@@ -40,6 +40,7 @@ EXECUTOR_COLS = [
 RAW_EXECUTOR_COLS = EXECUTOR_COLS[:8]
 
 NUM_AGGS = ["min", "max", "sum", "mean", "nunique", "count_zeroes", "count_not_null"]
+DECIMAL_AGGS = [a for a in NUM_AGGS if a != "mean"]  # the engines type the mean of a decimal differently
 
 
 def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
@@ -58,7 +59,7 @@ def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
         e = f"{agg}({c}){f}"
         return r4(e) if kind == "double" else e
     if agg == "sum":
-        return r4(f"sum({c}){f}") if kind == "double" else f"CAST(sum({c}){f} AS BIGINT)"
+        return r4(f"sum({c}){f}") if kind == "double" else f"sum({c}){f}" if kind == "decimal" else f"CAST(sum({c}){f} AS BIGINT)"
     if agg == "mean":
         return r4(f"avg({c}){f}")
     if agg == "nunique":
@@ -71,7 +72,7 @@ def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
 
 
 def _aggs_for(kind: str) -> list[str]:
-    return {"ts": ["min", "max"], "bool": ["any", "all", "sum"]}.get(kind, NUM_AGGS)
+    return {"ts": ["min", "max"], "bool": ["any", "all", "sum"], "decimal": DECIMAL_AGGS}.get(kind, NUM_AGGS)
 
 
 def typed_sql(cols, prefix: str = "", where: str | None = None, only: set[str] | None = None) -> str:
@@ -79,7 +80,7 @@ def typed_sql(cols, prefix: str = "", where: str | None = None, only: set[str] |
     for name, kind in cols:
         for agg in _aggs_for(kind):
             if only is None or agg in only:
-                parts.append(f"{_sql_agg(name, kind, agg, where)} AS {prefix}{name}_{agg}")
+                parts.append(f'{_sql_agg(name, kind, agg, where)} AS "{prefix}{name}_{agg}"')
     return ",\n  ".join(parts)
 
 
@@ -110,13 +111,13 @@ st2 AS (
 )"""
 
 
-@register(
-    "stage_aggs",
-    f"""{STAGE_AGGS_SQL}
+STAGES_SQL = f"""{STAGE_AGGS_SQL}
 SELECT app_id, attempt_id, count(*) AS stages_elements_count,
   {typed_sql(STAGE_COLS, "stages_")}
-FROM st2 GROUP BY app_id, attempt_id""",
-)
+FROM st2 GROUP BY app_id, attempt_id"""
+
+
+@register("stage_aggs", STAGES_SQL)
 def stage_aggs(spark, sf_dir):
     """M2 stage metrics, then every numeric/time column aggregated by type."""
     return _stage_aggs(spark, sf_dir)
@@ -131,17 +132,17 @@ ex2 AS (
 )"""
 
 
-@register(
-    "executor_aggs",
-    f"""{EXEC_AGGS_SQL}
+EXECUTOR_AGGS_SQL = f"""{EXEC_AGGS_SQL}
 SELECT app_id, attempt_id,
   CAST(count(*) FILTER (WHERE id <> 'driver') AS BIGINT) AS executors_elements_count,
   {typed_sql(EXECUTOR_COLS, "executors_", where="id <> 'driver'")},
   arg_max(totalCores, {{'a': addTime, 'b': id, 'c': totalCores, 'd': maxMemory, 'e': totalDuration, 'f': totalInputBytes}}) FILTER (WHERE id = 'driver') AS driver_totalCores,
   arg_max(maxMemory, {{'a': addTime, 'b': id, 'c': totalCores, 'd': maxMemory, 'e': totalDuration, 'f': totalInputBytes}}) FILTER (WHERE id = 'driver') AS driver_maxMemory,
   arg_max(x_coreCost, {{'a': addTime, 'b': id, 'c': totalCores, 'd': maxMemory, 'e': totalDuration, 'f': totalInputBytes}}) FILTER (WHERE id = 'driver') AS driver_x_coreCost
-FROM ex2 GROUP BY app_id, attempt_id""",
-)
+FROM ex2 GROUP BY app_id, attempt_id"""
+
+
+@register("executor_aggs", EXECUTOR_AGGS_SQL)
 def executor_aggs(spark, sf_dir):
     """A10: driver split off (last one wins) + typed aggregates of the other executors."""
     df = _executor_aggs(spark, sf_dir)
@@ -153,15 +154,30 @@ def executor_aggs(spark, sf_dir):
     )
 
 
+# raw executors with a nested struct and a decimal, for the type-directed form
+NESTED_COLS = [*RAW_EXECUTOR_COLS, ("memoryMetrics.usedOnHeapStorageMemory", "bigint"),
+               ("memoryMetrics.peak.ratio", "double"), ("charge", "decimal")]
+
+
 @register(
     "agg_typed_wide",
-    f"""SELECT app_id, attempt_id, count(*) AS elements_count,
-  {typed_sql(RAW_EXECUTOR_COLS)}
-FROM executors_v GROUP BY app_id, attempt_id""",
+    f"""WITH nested AS (
+  SELECT *, maxMemory // 3 AS "memoryMetrics.usedOnHeapStorageMemory", totalDuration / 1000.0 AS "memoryMetrics.peak.ratio",
+         CAST('90071992547409930.0' || CAST(failedTasks AS VARCHAR) AS DECIMAL(20,2)) AS charge FROM executors_v)
+SELECT app_id, attempt_id, count(*) AS elements_count,
+  {typed_sql(NESTED_COLS)}
+FROM nested GROUP BY app_id, attempt_id""",
 )
 def agg_typed_wide(spark, sf_dir):
-    """A1: generic type-directed aggregation of raw executors per attempt (wide)."""
-    return typed_aggregate(V.executors_v(spark, sf_dir).drop("id", "hostPort"), K)
+    """A1: generic type-directed aggregation of raw executors per attempt
+    (wide), with nested structs and a decimal whose values are too close for
+    a DOUBLE."""
+    ex = V.executors_v(spark, sf_dir).drop("id", "hostPort")
+    nested = ex.withColumns({
+        "memoryMetrics": F.struct(F.expr("maxMemory div 3").alias("usedOnHeapStorageMemory"),
+                                  F.struct((F.col("totalDuration") / 1000.0).alias("ratio")).alias("peak")),
+        "charge": F.concat(F.lit("90071992547409930.0"), F.col("failedTasks").cast("string")).cast("decimal(20,2)")})
+    return typed_aggregate(nested, K).drop("charge_mean")
 
 
 def _long_sql(cols, entity: str, source: str) -> str:
@@ -257,22 +273,25 @@ def agg_concat_unique(spark, sf_dir):
 @register(
     "attempt_report",
     f"""WITH s AS ({SUMMARY_SQL}),
-c AS (SELECT e.app_id, e.attempt_id, CAST(count(*) FILTER (WHERE id <> 'driver') AS BIGINT) AS executors_elements_count,
-             count(*) FILTER (WHERE id = 'driver') > 0 AS has_driver
-      FROM executors_v e GROUP BY ALL),
-t AS (SELECT app_id, attempt_id, count(*) AS stages_elements_count FROM stages_v GROUP BY ALL)
-SELECT r.app_id, r.attempt_id, r.name, r.duration, c.executors_elements_count, coalesce(c.has_driver, false) AS has_driver,
-       t.stages_elements_count, s.* EXCLUDE (app_id, attempt_id)
+e AS ({EXECUTOR_AGGS_SQL}),
+t AS ({STAGES_SQL}),
+d AS (SELECT app_id, attempt_id, count(*) FILTER (WHERE id = 'driver') > 0 AS has_driver FROM executors_v GROUP BY ALL)
+SELECT r.app_id, r.attempt_id, r.name, r.duration, coalesce(d.has_driver, false) AS has_driver,
+       e.* EXCLUDE (app_id, attempt_id), t.* EXCLUDE (app_id, attempt_id), s.* EXCLUDE (app_id, attempt_id)
 FROM runs_v r
-LEFT JOIN c ON c.app_id = r.app_id AND c.attempt_id = r.attempt_id
+LEFT JOIN d ON d.app_id = r.app_id AND d.attempt_id = r.attempt_id
+LEFT JOIN e ON e.app_id = r.app_id AND e.attempt_id = r.attempt_id
 LEFT JOIN t ON t.app_id = r.app_id AND t.attempt_id = r.attempt_id
 LEFT JOIN s ON s.app_id = r.app_id AND s.attempt_id = r.attempt_id""",
 )
 def attempt_report(spark, sf_dir):
-    """Attempt row + executor/stage aggregates + summary (selected fields)."""
+    """Attempt row, every executor and stage aggregate, and the summary."""
     runs, ex, st = V.runs_v(spark, sf_dir), V.executors_v(spark, sf_dir), V.stages_v(spark, sf_dir)
-    rep = M.attempt_report(runs.select(*K, "name", "startTime", "endTime", "duration"), ex, st, nunique="none")
+    rep = M.attempt_report(runs.select(*K, "name", "startTime", "endTime", "duration"), ex.drop("hostPort"), st)
+    aggs = [c for c in rep.columns if c.startswith(("executors_", "stages_")) and c not in ("stages_union_ms", "stages_overlap")
+            and c not in M.SUMMARY_FIELDS]
     return rep.select(
-        *K, "name", "duration", "executors_elements_count", F.col("driver").isNotNull().alias("has_driver"),
-        "stages_elements_count", *M.SUMMARY_FIELDS,
+        *K, "name", "duration", F.col("driver").isNotNull().alias("has_driver"), *aggs,
+        F.col("driver.totalCores").alias("driver_totalCores"), F.col("driver.maxMemory").alias("driver_maxMemory"),
+        F.col("driver.x_coreCost").alias("driver_x_coreCost"), *M.SUMMARY_FIELDS,
     )

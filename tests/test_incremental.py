@@ -97,3 +97,42 @@ def test_step_border_counted_once(spark):
     assert steps == {"c": 0, "a": 1}  # T(2) is the (exclusive) window end
     counts = I.assign_steps(df, "end_time", F.lit(T(0)), F.lit(T(3))).groupBy("step").count().collect()
     assert sorted((r.step, r["count"]) for r in counts) == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_distinct_counts_keep_their_types(spark):
+    import decimal
+
+    from runlens.operators.typed_agg import distinct_counts, typed_aggregate
+
+    rows = [("a", decimal.Decimal("90071992547409930.01"), 2**60 + i % 2, 0.1 * (i % 3), {"x": i % 4, "y": {"z": None if i % 2 else 1.5}})
+            for i in range(2000)] + [("a", decimal.Decimal("90071992547409930.02"), None, None, None), ("b", None, 1, 2.0, {"x": 1, "y": None})]
+    df = spark.createDataFrame(rows, "k string, d decimal(20,2), l long, f double, m struct<x:int,y:struct<z:double>>")
+    got = {r.k: r for r in typed_aggregate(df, ["k"]).collect()}
+    a, b = got["a"], got["b"]
+    assert (a["d_nunique"], a["l_nunique"], a["f_nunique"], a["m.x_nunique"], a["m.y.z_nunique"]) == (2, 2, 3, 4, 1)
+    assert (b["d_nunique"], b["l_nunique"], b["m.x_nunique"], b["m.y.z_nunique"], b["m.y.z_count_not_null"]) == (None, 1, 1, None, None)
+    assert a["m.x_sum"] == 3000 and a["elements_count"] == 2001 and "m" not in got["a"].asDict()
+    # a type table of one's own gets the same plan
+    from runlens.operators.typed_agg import default_type_aggs
+    own = typed_aggregate(df, ["k"], type_aggs=default_type_aggs())
+    assert sorted(map(str, own.collect())) == sorted(map(str, got.values()))
+    assert "Expand" not in own._jdf.queryExecution().optimizedPlan().toString()
+    # two exchanges behind the rows, and a group that holds nearly all rows
+    # reaches them spread over the values
+    plan = distinct_counts(df.select("k", "d", "l", "f"), ["k"], ["d", "l", "f"])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") + plan.count("SortAggregate") <= 4
+
+
+def test_bundle_equals_its_parts(spark):
+    from runlens.operators import metrics as M
+    from runlens.operators.typed_agg import executor_aggregate
+    from runlens.plans import views as V
+    from tests.conftest import SF_SMALL
+
+    runs, ex, st = V.runs_v(spark, SF_SMALL), V.executors_v(spark, SF_SMALL), V.stages_v(spark, SF_SMALL)
+    report = M.attempt_report(runs.select("app_id", "attempt_id", "startTime", "endTime", "duration"), ex, st)
+    parts = M.stage_aggregate(st).join(executor_aggregate(M.executor_metrics(ex, runs), M.KEYS), M.KEYS, "full")
+    names = [c for c in parts.columns if c != "driver" and not c.endswith(("_sum", "_mean"))]
+    want = {tuple(r) for r in parts.select(*names).collect()}
+    got = {tuple(r) for r in report.where("stages_elements_count is not null or executors_elements_count is not null").select(*names).collect()}
+    assert got == want and len(want) > 100
