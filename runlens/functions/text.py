@@ -57,9 +57,10 @@ def remove_blanks(col: Column | str) -> Column:
 
 
 def version_int(col: Column | str) -> Column:
-    """Version text made of digits only -> INT, else NULL (text kept elsewhere)."""
+    """Version text made of digits only -> BIGINT, else NULL (the text is kept
+    elsewhere, also where it has more than 18 digits)."""
     c = _c(col)
-    return F.when(c.rlike("^[0-9]+$"), c.try_cast("int"))
+    return F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint"))
 
 
 def values_match(left: Column | str, right: Column | str) -> Column:

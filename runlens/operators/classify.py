@@ -17,7 +17,7 @@ from runlens.constants import (
     ETL_OLD_STANDARDIZATION,
     TOP_TAGS_MIN_COUNT,
 )
-from runlens.functions import info_date_str, parse_info_date
+from runlens.functions import info_date_str, parse_info_date, version_int
 
 
 def _c(col: Column | str) -> Column:
@@ -46,10 +46,6 @@ def is_etl_app(name: Column | str) -> Column:
     return n.startswith(ETL_NEW_PREFIX) | is_old_standardization(n) | is_old_conformance(n)
 
 
-def _int_or_null(text: Column) -> Column:
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
-
-
 def etl_classification(name: Column | str, words: Column | None = None) -> Column:
     """struct(project, app, type, app_version, dataset,
     dataset_version, dataset_version_int, info_date, info_date_casted,
@@ -58,7 +54,7 @@ def etl_classification(name: Column | str, words: Column | None = None) -> Colum
     New style reads words 0..6; old standardization words 1..5; old
     conformance drops its first word, then the same.  Names of no style, or a
     new-style name with fewer than 7 words, give NULL (error routing reports
-    them).  Versions made of digits also appear as INT.
+    them).  Versions made of digits also appear as BIGINT.
     """
     n = _c(name)
     w = _words(n) if words is None else words
@@ -88,11 +84,11 @@ def etl_classification(name: Column | str, words: Column | None = None) -> Colum
             word(0).alias("app_version"),
             word(1).alias("dataset"),
             word(2).alias("dataset_version"),
-            _int_or_null(word(2)).alias("dataset_version_int"),
+            version_int(word(2)).alias("dataset_version_int"),
             info_date_str(info_date).alias("info_date"),
             parse_info_date(info_date).alias("info_date_casted"),
             word(4).alias("info_version"),
-            _int_or_null(word(4)).alias("info_version_int"),
+            version_int(word(4)).alias("info_version_int"),
         ),
     )
 

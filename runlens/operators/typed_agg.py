@@ -323,3 +323,13 @@ def executor_parts(executors: DataFrame, keys: list[str], order_col: str | None
     exact = _exact_columns(flat.schema, skip, type_aggs)
     others = flat.where(~F.col("__is_driver")).select(*keys, *[F.col(f"`{c}`") for c in exact])
     return aggregated, others, exact, [*keys, "executors_elements_count", *names, "driver"]
+
+
+def concat_first_seen(df: DataFrame, keys: list[str], col: str, position: Column, separator: str = "|") -> DataFrame:
+    """A9 in first-seen order: the unique values of a column joined in the
+    order of their smallest position (values at one position by themselves).
+    Repeated values are reduced to one row each before a group's values meet,
+    so a group is held only as what it returns."""
+    first = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).cast("string").alias("__value")).agg(F.min(position).alias("__at"))
+    text = F.expr(f"listagg(__value, '{separator}') within group (order by __at, __value)")
+    return first.groupBy(*keys).agg(text.alias(f"{col}_concat_unique"))

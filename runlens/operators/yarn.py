@@ -97,12 +97,19 @@ def app_stats(apps: DataFrame, types: list[str] = DEFAULT_APP_TYPES, states: lis
 def cluster_doc(snapshots: DataFrame, info_col: str = "schedulerInfo") -> DataFrame:
     """One document per snapshot: cluster capacities and health
     dropped, queues keyed by name with their capacities, resources and users
-    dropped."""
+    dropped; the cluster metrics as they are; and the application statistics
+    (an array of types, each with its items of state and count) as a map of
+    maps, type -> state -> count (no type: ``all``)."""
     q = F.col(f"{info_col}.queues.queue")
     queues = F.map_from_entries(
         F.transform(q, lambda x: F.struct(x["queueName"], x.dropFields("capacities", "resources", "users")))
     )
-    return snapshots.withColumn(info_col, F.col(info_col).dropFields("capacities", "health").withField("queues", queues))
+    out = snapshots.withColumn(info_col, F.col(info_col).dropFields("capacities", "health").withField("queues", queues))
+    if "appStatInfo" in snapshots.columns:
+        out = out.withColumn("appStatInfo", F.map_from_entries(F.transform("appStatInfo", lambda t: F.struct(
+            F.coalesce(t["type"], F.lit("all")),
+            F.map_from_entries(F.transform(t["statItem"], lambda s: F.struct(s["state"], s["count"])))))))
+    return out
 
 
 def _tag(df: DataFrame, doc_type: str) -> DataFrame:

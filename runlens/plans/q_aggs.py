@@ -9,6 +9,7 @@ from runlens.operators import metrics as M
 from runlens.operators.typed_agg import (
     EXTRA_NUMERIC_AGGS,
     EXTRA_STRING_AGGS,
+    concat_first_seen,
     executor_aggregate,
     typed_aggregate,
     typed_aggregate_long,
@@ -270,6 +271,17 @@ def agg_concat_unique(spark, sf_dir):
     return typed_aggregate(ex, K, type_aggs=[((T.StringType,), EXTRA_STRING_AGGS)]).drop("elements_count")
 
 
+@register(
+    "agg_concat_first_seen",
+    """SELECT app_id, attempt_id, string_agg(id, '|' ORDER BY pos, id) AS id_concat_unique
+FROM (SELECT app_id, attempt_id, id, min(maxMemory) AS pos FROM executors_v GROUP BY ALL) GROUP BY app_id, attempt_id""",
+)
+def agg_concat_first_seen(spark, sf_dir):
+    """Unique executor ids joined with '|' in first-seen order (position:
+    the memory, which numbers the rows of an attempt)."""
+    return concat_first_seen(V.executors_v(spark, sf_dir), K, "id", F.col("maxMemory"))
+
+
 @register(
     "attempt_report",
     f"""WITH s AS ({SUMMARY_SQL}),

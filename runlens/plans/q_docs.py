@@ -29,13 +29,13 @@ SELECT *,
   CASE WHEN valid THEN w[off] END AS app_version,
   CASE WHEN valid THEN w[off + 1] END AS dataset,
   CASE WHEN valid THEN w[off + 2] END AS dataset_version,
-  CASE WHEN valid AND regexp_full_match(w[off + 2], '[0-9]+') THEN TRY_CAST(w[off + 2] AS INTEGER) END
+  CASE WHEN valid AND regexp_full_match(w[off + 2], '[0-9]+') THEN TRY_CAST(w[off + 2] AS BIGINT) END
     AS dataset_version_int,
   CASE WHEN valid THEN 'str:' || w[off + 3] END AS info_date,
   CASE WHEN valid THEN coalesce(try_strptime(w[off + 3], '%d-%m-%Y'), try_strptime(w[off + 3], '%Y-%m-%d'))
     + INTERVAL 12 HOUR END AS info_date_casted,
   CASE WHEN valid THEN w[off + 4] END AS info_version,
-  CASE WHEN valid AND regexp_full_match(w[off + 4], '[0-9]+') THEN TRY_CAST(w[off + 4] AS INTEGER) END
+  CASE WHEN valid AND regexp_full_match(w[off + 4], '[0-9]+') THEN TRY_CAST(w[off + 4] AS BIGINT) END
     AS info_version_int
 FROM (
   SELECT *, (is_new AND len(w) >= 7) OR old_std OR old_conf AS valid,

@@ -66,12 +66,16 @@ _Q = [("default", 0), ("etl", 1), ("adhoc", 2)]
     "yarn_cluster_doc",
     """SELECT o_orderkey AS snapshot_id, 'adhoc,default,etl' AS queue_names,
   CAST(o_orderkey % 7 AS INTEGER) AS apps_default, CAST(o_orderkey % 7 + 1 AS INTEGER) AS apps_etl,
-  CAST(o_orderkey % 7 + 2 AS INTEGER) AS apps_adhoc, 2 AS n_queue_fields, false AS has_health
+  CAST(o_orderkey % 7 + 2 AS INTEGER) AS apps_adhoc, 2 AS n_queue_fields, false AS has_health,
+  o_custkey % 100 AS apps_submitted, o_orderkey % 1000 AS available_mb,
+  o_custkey % 50 AS all_running, o_custkey % 30 AS spark_running, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 20 END AS spark_failed
 FROM orders""",
 )
 def yarn_cluster_doc(spark, sf_dir):
-    """Single scheduler document per snapshot, queues keyed by name."""
+    """Single cluster document per snapshot: queues keyed by name,
+    cluster metrics, application counts by type and state."""
     d = Y.cluster_doc(V.scheduler_v(spark, sf_dir))
+    stats = F.col("appStatInfo")
     q = F.col("schedulerInfo.queues")
     return d.select(
         "snapshot_id",
@@ -81,6 +85,9 @@ def yarn_cluster_doc(spark, sf_dir):
         q["adhoc"]["numApplications"].alias("apps_adhoc"),
         F.lit(len(d.schema["schedulerInfo"].dataType["queues"].dataType.valueType.fields)).alias("n_queue_fields"),
         F.lit("health" in d.schema["schedulerInfo"].dataType.fieldNames()).alias("has_health"),
+        F.col("clusterMetrics")["appsSubmitted"].alias("apps_submitted"), F.col("clusterMetrics")["availableMB"].alias("available_mb"),
+        stats["all"]["RUNNING"].alias("all_running"), stats["SPARK"]["RUNNING"].alias("spark_running"),
+        stats["SPARK"]["FAILED"].alias("spark_failed"),
     )
 
 

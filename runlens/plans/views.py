@@ -530,6 +530,11 @@ def scheduler_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("snapshot_id"),
         F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate").cast("timestamp")).alias("time_processed"),
         F.expr(doc).alias("schedulerInfo"),
+        F.expr("map('appsSubmitted', o_custkey % 100, 'availableMB', o_orderkey % 1000)").alias("clusterMetrics"),
+        F.expr("""array(
+            named_struct('type', CAST(NULL AS STRING), 'statItem', array(named_struct('state', 'RUNNING', 'count', o_custkey % 50))),
+            named_struct('type', 'SPARK', 'statItem', filter(array(named_struct('state', 'RUNNING', 'count', o_custkey % 30),
+                if(o_orderkey % 2 = 0, named_struct('state', 'FAILED', 'count', o_orderkey % 20), NULL)), x -> x IS NOT NULL)))""").alias("appStatInfo"),
     )
 
 

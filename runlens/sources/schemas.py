@@ -116,4 +116,7 @@ SCHEDULER_INFO = T.StructType([
 SCHEDULER_SNAPSHOT = T.StructType([
     _f("time_processed", S),
     _f("scheduler", T.StructType([_f("schedulerInfo", SCHEDULER_INFO)])),
+    _f("clusterMetrics", T.MapType(S, L)),
+    _f("appStatInfo", T.ArrayType(T.StructType([
+        _f("type", S), _f("statItem", T.ArrayType(T.StructType([_f("state", S), _f("type", S), _f("count", L)])))]))),
 ])

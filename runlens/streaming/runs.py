@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runlens.constants import LOOKBACK_HOURS, STEP_SECONDS
+from runlens.operators import incremental as I
+from runlens.session import materialized
+from runlens.sources.dated import overwrite_dates, read_if_there
 
 
 def listed_runs(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -106,3 +109,37 @@ def high_watermarks(stream: DataFrame, key: str = "host", time_col: str = "end_t
     with the stored state each micro-batch); run with output mode
     ``update`` (changed sources only) or ``complete``."""
     return stream.groupBy(key).agg(F.max(time_col).alias("high_watermark"), F.count(F.lit(1)).alias("n_runs"))
+
+
+def since_latest_batch(df: DataFrame, batch_id: int, base: str, key: str = "id", time_col: str = "end_time") -> DataFrame:
+    """X6, one micro-batch: the listed runs at or after the greatest time
+    processed so far, without those already processed at that time.
+
+    The state, the greatest time with the ids tied at it, is a small table
+    with one partition per micro-batch; a batch reads the newest one before
+    its own and replaces its own, so running it again gives the same rows and
+    the same state.  New runs are written to ``<base>/new`` the same way."""
+    spark = df.sparkSession
+    known = read_if_there(spark, f"{base}/state")
+    state = None
+    if known is not None:
+        before = known.where(F.col("batch") < batch_id)
+        state = before.where(F.col("batch") == before.agg(F.max("batch")).scalar()).drop("batch")
+        state = None if state.isEmpty() else materialized(state)
+    listed = df.dropDuplicates([key])
+    new = materialized(listed if state is None else I.since_high_watermark(listed, state, time_col, key))
+    seen = new.select(key, time_col) if state is None else state.select(key, time_col).unionByName(new.select(key, time_col))
+    overwrite_dates(new.withColumn("batch", F.lit(batch_id)), f"{base}/new", ["batch"])
+    overwrite_dates(I.rows_at_latest(seen, time_col).withColumn("batch", F.lit(batch_id)), f"{base}/state", ["batch"])
+    return new
+
+
+def since_latest(stream: DataFrame, base: str, checkpoint: str, key: str = "id", time_col: str = "end_time",
+                 trigger: str = "availableNow") -> StreamingQuery:
+    """X6 as a stream: every micro-batch through ``since_latest_batch``."""
+    base = base.rstrip("/")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        since_latest_batch(df, batch_id, base, key, time_col)
+
+    return start(stream, checkpoint, trigger, foreach_batch=batch)

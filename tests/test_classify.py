@@ -53,3 +53,9 @@ def test_doc_uid(spark):
 def test_is_etl_app(spark):
     df = spark.createDataFrame([("EnceladusX",), ("Dynamic Conformance a b c d e",), ("x",)], "name string")
     assert [r[0] for r in df.select(C.is_etl_app(F.col("name"))).collect()] == [True, True, False]
+
+
+def test_wide_versions(spark):
+    df = spark.createDataFrame([("Enceladus Standardization 2.1.0 ds 123456789012 2020-01-15 7",)], "name string")
+    r = C.enrich(df).select("classification.*").first()
+    assert r.dataset_version_int == 123456789012 and r.info_version_int == 7

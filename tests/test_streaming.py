@@ -118,3 +118,35 @@ def test_late_run_inside_lookback_is_kept(spark):
     q = R.start(R.new_runs(stream, keys=["id"]), f"{work}/ck", sink="parquet", path=f"{work}/out")
     q.awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(f"{work}/out").collect()) == ["a", "b", "c"]
+
+
+def test_stream_since_latest_keeps_its_tie_set(spark):
+    """Three micro-batches with tied end times equal the batch form over what
+    was processed before; a batch that is run again changes nothing."""
+    import datetime as dt
+
+    work = tempfile.mkdtemp(prefix="runlens-ties-")
+    t = [dt.datetime(2024, 1, 1, h) for h in range(5)]
+    schema = "id string, end_time timestamp"
+    batches = [[("a", t[0]), ("b", t[1]), ("c", t[1]), ("b", t[1])],
+               [("b", t[1]), ("c", t[1]), ("d", t[1]), ("early", t[0]), ("e", t[2])],
+               [("e", t[2]), ("f", t[2]), ("d", t[1]), ("g", t[4]), ("h", t[4])]]
+    done = []
+    for n, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, schema)
+        batch.coalesce(1).write.parquet(f"{work}/landing/{n}")
+        want = batch.distinct()
+        if done:
+            store = spark.createDataFrame(done, schema)
+            want = I.since_high_watermark(want, store, "end_time", "id")
+        want = sorted(r.id for r in want.collect())
+        stream = R.listed_runs(spark, f"{work}/landing/*", batch.schema, max_files=1)
+        R.since_latest(stream, f"{work}/out", f"{work}/ck").awaitTermination(120)
+        got = spark.read.parquet(f"{work}/out/new")
+        assert sorted(r.id for r in got.where(F.col("batch") == n).collect()) == want
+        done += [(r.id, r.end_time) for r in got.where(F.col("batch") == n).collect()]
+    assert sorted(i for i, _ in done) == ["a", "b", "c", "d", "e", "f", "g", "h"]
+    R.since_latest_batch(spark.createDataFrame(batches[2], schema), 2, f"{work}/out")
+    assert spark.read.parquet(f"{work}/out/new").count() == 8
+    state = spark.read.parquet(f"{work}/out/state").where("batch = 2")
+    assert sorted(r.id for r in state.collect()) == ["g", "h"]
