@@ -3,16 +3,21 @@
 DataFrame functions only.  Every document gets plain counts (words, word
 characters, symbols, repeated lines, words in repeated windows); base rules
 reject the hopeless.  For the others each rule compares a value with a
-cutoff that is chosen per stratum (the language by default) from labelled
-documents: cutoffs of a fixed grid are tested from the most lenient to the
-strictest, and each one must show by an exact binomial test that it rejects
-at most ``ALPHA`` / number of rules of the stratum's good documents, at
-confidence 1 - ``DELTA`` / (strata x rules).  The tests stop at the first
-failure (fixed sequence), so no further correction is due inside a grid, and
-all choices together hold at 1 - ``DELTA``: in every stratum at most
-``ALPHA`` of the good documents are rejected by learned rules.  Of the valid
-cutoffs the one that separates bad from good best is taken, the most lenient
-among equals; a rule that does not separate gets none.
+cutoff, chosen per stratum (the language by default) from labelled documents.
+
+A quarter of them (by a hash of the id) orders the cutoffs: a rule's cutoff
+costs the share of good documents beyond it divided by the share of bad ones,
+and a level is a bound on the cost; at a level each rule has its lowest cutoff
+within the bound, so levels are nested sets of cutoffs of all rules together.
+The other three quarters test the levels from the most lenient to the
+strictest: a level is valid if an exact binomial test shows, at confidence
+1 - ``DELTA`` / strata, that all its cutoffs together reject at most
+``ALPHA`` of the stratum's good documents.  The tests stop at the first
+failure (fixed sequence), so no further correction is due inside a stratum,
+and all choices together hold at 1 - ``DELTA``.  Of the valid levels the one
+that separates bad from good best is taken, the most lenient among equals; a
+stratum where none separates gets no cutoff.  With ``ALPHA`` 0.01 a stratum
+of four needs 436 good documents to test.
 
 Scale: one pass over the texts inside generated code, no shuffle of text;
 the counts are saved once (a few numbers per document), joined with the
@@ -31,7 +36,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.store import saved
@@ -43,6 +48,7 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 ALPHA, DELTA = 0.01, 0.05
 BROADCAST_STRATA = 10_000
+LEVELS, DECADES = 64, 4
 # rule: (grid step, grid steps); values are whole numbers, larger is worse
 GRID = {
     "symbols": (5, 200),       # per 1,000 word characters
@@ -121,36 +127,76 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.exp(log_last) * rest
 
 
+def cells() -> dict[str, Column]:
+    """The grid cell of each rule's value: cutoff c - 1 steps is exceeded by
+    the values of cell c and above."""
+    return {rule: F.floor((F.least(v, F.lit(step * size)) - 1 + step) / step).cast("long") for (rule, (step, size)), v in zip(GRID.items(), rule_values().values())}
+
+
+def cost_level(cost: Column) -> Column:
+    """The first of ``LEVELS`` + 1 levels, bounds from 10**-``DECADES`` to 1
+    in equal ratios, that allows the cost."""
+    return F.greatest(F.lit(0), F.ceil((F.log10(cost) / DECADES + 1) * LEVELS - 1e-9)).cast("int")
+
+
+def rule_paths(train: DataFrame) -> DataFrame:
+    """(stratum, rule, cell, level): the cutoffs that a rule has, from rows
+    of stratum, good and the counts, with the first level that has them."""
+    each = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), c.alias("cell")) for rule, c in cells().items()]))
+    counted = (train.select("stratum", "good", each.alias("r")).groupBy("stratum", "r.rule", "r.cell")
+               .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
+    # one row per observed cell (at most the grid's size) in each window
+    whole = Window.partitionBy("stratum", "rule")
+    above = whole.orderBy(F.desc("cell"))
+    beyond = counted.select("stratum", "rule", "cell", *[
+        ((F.sum(c).over(above) + 1) / (F.sum(c).over(whole) + 1)).alias(c) for c in ("good", "bad")])
+    cost = F.min(F.col("good") / F.col("bad")).over(whole.orderBy("cell"))
+    return (beyond.where("cell > 0").select("stratum", "rule", "cell", cost.alias("cost"))
+            .where("cost < 1").select("stratum", "rule", "cell", cost_level(F.col("cost")).alias("level")))
+
+
 def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff) from rows of stratum, good and the counts: a
-    document whose value exceeds the cutoff is rejected."""
-    steps = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"),
-                               F.least(v, F.lit(step * size)).cast("long").alias("value"))
-                      for (rule, (step, size)), v in zip(GRID.items(), rule_values().values())])
-    cells = saved(labelled.select("stratum", "good", F.explode(steps).alias("r"))
-             # rejected by cutoff c * step when the value exceeds it
-             .select("stratum", "good", "r.rule", "r.step", F.expr("(r.value - 1 + r.step) div r.step").alias("cell"))
-             .groupBy("stratum", "rule", "step", "cell")
-             .agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")))
-    total = cells.groupBy("stratum", "rule", "step").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
-    size = F.element_at(F.create_map(*[x for r, (_, n) in GRID.items() for x in (F.lit(r), F.lit(n))]), F.col("rule"))
-    tests = max(1, total.count())  # one sequence for each stratum and rule
-    each = total.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("c"))
-    same = (each["stratum"].eqNullSafe(cells["stratum"])) & (each["rule"] == cells["rule"]) & (cells["cell"] > each["c"])
-    tried = (each.join(cells, same, "left")
-             .groupBy(each["stratum"], each["rule"], each["step"], "n_good", "n_bad", "c")
+    """(stratum, rule, cutoff) from rows of stratum, good, train (whether the
+    row orders the cutoffs or tests them) and the counts: a document whose
+    value exceeds the cutoff is rejected."""
+    paths = saved(rule_paths(labelled.where("train")))
+    by_rule = paths.groupBy("stratum", "rule").agg(F.collect_list(F.struct("cell", "level")).alias("path"))
+    by_stratum = by_rule.groupBy(F.col("stratum").alias("__stratum")).agg(
+        F.map_from_entries(F.collect_list(F.struct("rule", "path"))).alias("__paths"))
+    held = labelled.where("not train")
+
+    def level(rule: str, cell: Column) -> Column:
+        return F.array_min(F.transform(F.filter(F.col("__paths")[rule], lambda x: x["cell"] <= cell), lambda x: x["level"]))
+
+    # the first level that rejects the document, none for LEVELS + 1
+    first = F.coalesce(F.least(*[level(rule, c) for rule, c in cells().items()]), F.lit(LEVELS + 1))
+    counted = (held.join(by_stratum, F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
+               .groupBy("stratum", first.alias("level"))
+               .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")))
+    counted = saved(counted)
+    total = counted.groupBy("stratum").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
+    tests = max(1, total.count())  # one sequence for each stratum
+    each = total.select(F.col("stratum").alias("s"), "n_good", "n_bad", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("c"))
+    tried = (each.join(counted, F.col("s").eqNullSafe(F.col("stratum")) & (F.col("level") <= F.col("c")), "left")
+             .groupBy("s", "n_good", "n_bad", "c")
              .agg(F.coalesce(F.sum("good"), F.lit(0)).alias("k"), F.coalesce(F.sum("bad"), F.lit(0)).alias("caught")))
-    a = alpha / len(GRID)
-    safe = F.when(F.col("k") < F.col("n_good") * a, binomial_tail(F.col("n_good"), F.col("k"), a)).otherwise(1.0)
+    safe = F.when(F.col("k") < F.col("n_good") * alpha, binomial_tail(F.col("n_good"), F.col("k"), alpha)).otherwise(1.0)
     tried = tried.withColumn("valid", safe <= F.lit(delta / tests))
-    # fixed sequence: lenient (large c) to strict, up to the first failure
-    failed = F.max(F.when(~F.col("valid"), F.col("c")))
-    stop = tried.groupBy("stratum", "rule").agg(F.coalesce(failed, F.lit(-1)).alias("stop"))
-    gain = (F.col("caught") / F.greatest("n_bad", F.lit(1)) - F.col("k") / F.greatest("n_good", F.lit(1))).alias("gain")
-    ok = (tried.alias("t").join(stop.alias("s"), F.col("t.stratum").eqNullSafe(F.col("s.stratum"))
-                                & (F.col("t.rule") == F.col("s.rule")) & (F.col("c") > F.col("stop")))
-          .select("t.stratum", "t.rule", (F.col("c") * F.col("step")).alias("cutoff"), gain).where("gain > 0"))
-    return ok.groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct("gain", "cutoff")).alias("cutoff"))
+    gain = F.col("caught") / F.greatest("n_bad", F.lit(1)) - F.col("k") / F.greatest("n_good", F.lit(1))
+    # fixed sequence: lenient (small c) to strict, up to the first failure
+    ends = tried.groupBy("s").agg(F.min(F.when(~F.col("valid"), F.col("c"))).alias("stop"), F.collect_list(
+        F.struct(gain.alias("gain"), (-F.col("c")).alias("lenient"))).alias("all"))
+    best = F.array_max(F.filter("all", lambda x: (x["gain"] > 0) & F.coalesce(-x["lenient"] < F.col("stop"), F.lit(True))))
+    chosen = ends.select("s", (-best["lenient"]).alias("chosen")).where("chosen is not null")
+    lowest = (paths.join(chosen, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("level") <= F.col("chosen")))
+              .groupBy("stratum", "rule").agg(F.min("cell").alias("cell")))
+    step = F.element_at(F.create_map(*[x for r, (n, _) in GRID.items() for x in (F.lit(r), F.lit(n))]), F.col("rule"))
+    return lowest.select("stratum", "rule", ((F.col("cell") - 1) * step).cast("long").alias("cutoff"))
+
+
+def trains(id_col: str) -> Column:
+    """A quarter of the ids orders the cutoffs, the others test them."""
+    return F.pmod(F.xxhash64(F.lit("train"), F.col(id_col)), F.lit(4)) == 0
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
@@ -160,7 +206,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                   .drop(text_col)).withColumn("base_failed", base_failed())
     said = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(
         (F.max("quality") == 1).alias("good"))
-    labelled = stats.where("not base_failed").join(said, F.col(id_col) == F.col("__id"))
+    labelled = saved(stats.where("not base_failed").join(said, F.col(id_col) == F.col("__id")).withColumn("train", trains("__id")))
     limits = saved(cutoffs(labelled, alpha, delta).groupBy(F.col("stratum").alias("__stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("__limits")))
     if limits.count() <= BROADCAST_STRATA:

@@ -9,8 +9,9 @@ the largest pending example, and what is left at the end of a task becomes
 sequences whose sizes are powers of two, which need no padding.
 
 Each task packs its own scan partition: nothing is shuffled, and at most
-``POOL`` examples of less than one sequence are pending, so memory is bounded
-whatever the documents' number and length.  A task's result depends on its
+``POOL`` examples of less than one sequence are pending (or one sequence's
+tokens of smaller ones), so memory is bounded whatever the documents' number
+and length.  A task's result depends on its
 rows alone, so a recomputed task gives the same sequences; ids combine the
 partition's number with the task's count.
 
@@ -32,6 +33,7 @@ from runlens.llm.store import small_batches
 
 POOL = 2048
 LIMITS = (4096, 512, 4096)  # tokens, segments, loss-bearing tokens
+DOCUMENT_LIMITS = (4096, 4096, 4096)  # a segment has a token at least: no limit of its own
 
 
 class Packer:
@@ -63,7 +65,8 @@ class Packer:
         if rows:
             self.keys += keys
             self.vectors = np.concatenate([self.vectors, np.array(rows, dtype=np.int64)])
-        while len(self.keys) > self.pool:
+        # a bin is closed only where the pending examples could fill it
+        while len(self.keys) > self.pool and self.vectors[:, 1].sum() >= size:
             out += self._bin(size)
         return out
 
@@ -160,7 +163,7 @@ def pack_examples(df: DataFrame, id_col: str, tokens_col: str, loss_col: str,
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-                   limits: tuple[int, int, int] = LIMITS) -> DataFrame:
+                   limits: tuple[int, int, int] = DOCUMENT_LIMITS) -> DataFrame:
     """Documents (ids of the text, then ``end_id``; every token bears loss),
     cut where that fills a sequence: id, start, length, ids (binary, unsigned
     little-endian 32 bit), doc_tokens, sequence_id, offset."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm import chat, langid, maglev, posindex, riskrules, tokscan, vecpack, vocab
 from runlens.llm.queries import held_out
+from runlens.llm.store import saved
 
 # chat -------------------------------------------------------------------------
 
@@ -250,6 +251,38 @@ def test_packed_documents(docs, corpus, empty):
     assert vecpack.pack_documents(empty, PATH, 2).count() == 0
 
 
+@pytest.mark.parametrize("text", ["one", "", "a b c"])
+def test_tiny_documents_fill_sequences(spark, text):
+    df = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).coalesce(1)
+    pieces = vecpack.pack_documents(df, PATH, 2).select("doc_id", "sequence_id", "length").collect()
+    sizes = Counter()
+    for p in pieces:
+        sizes[p.sequence_id] += p.length
+    padding = sum(0 if n & (n - 1) == 0 else 4096 - n for n in sizes.values())
+    assert padding < 0.05 * sum(sizes.values()) and len({p.doc_id for p in pieces}) == 9000 and max(sizes.values()) <= 4096
+
+
+def test_the_packer_takes_the_largest_dot_product():
+    """Every piece that is not cut, against a plain search of all pending
+    examples that fit."""
+    rng = np.random.default_rng(12)
+    limits = (100, 6, 60)
+    examples = [(i, 0, int(t), int(t * rng.random())) for i, t in enumerate(rng.integers(1, 60, 80))]
+    packer = vecpack.Packer(limits)
+    pieces = packer.add(examples) + packer.finish()
+    size = {e[0]: (e[2], 1, e[3]) for e in examples}
+    pending = set(size)
+    for sequence in sorted({p[3] for p in pieces}):
+        room = np.array(limits, float)
+        for key, *_ in sorted((p for p in pieces if p[3] == sequence), key=lambda p: p[4]):
+            fits = {k: sum(a / l * r / l for a, r, l in zip(size[k], room, limits)) for k in pending if (np.array(size[k]) <= room).all()}
+            assert fits[key] >= max(fits.values()) - 1e-12
+            pending.remove(key)
+            room -= size[key]
+        assert not any((np.array(size[k]) <= room).all() for k in pending)
+    assert not pending
+
+
 def test_packed_examples_keep_all_limits(spark):
     rng = np.random.default_rng(4)
     rows = [(i, int(t), int(t * rng.random())) for i, t in enumerate(rng.integers(1, 900, 500))] + [(500, 0, 0), (501, None, None)]
@@ -307,6 +340,62 @@ def test_learned_cutoffs_spare_good_documents(spark):
     assert sum(good) >= 0.95 * len(good) and sum(bad) < 0.05 * len(bad)
 
 
+def plain_cutoffs(rows, alpha, delta):
+    """rows: (stratum, good, train, {rule: cell}); (stratum, rule) -> cell."""
+    def tail(n, k, p):
+        return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1)
+                                  + j * math.log(p) + (n - j) * math.log1p(-p)) for j in range(k + 1))
+
+    out, strata = {}, {r[0] for r in rows}
+    tested = {r[0] for r in rows if not r[2]}
+    for stratum in strata:
+        train = [r for r in rows if r[0] == stratum and r[2]]
+        held = [r for r in rows if r[0] == stratum and not r[2]]
+        n_good, n_bad = (sum(r[1] == g for r in held) for g in (True, False))
+        path = {}
+        for rule in riskrules.GRID:
+            lowest = float("inf")
+            for cell in sorted({r[3][rule] for r in train}):
+                good, bad = ((sum(r[1] == g and r[3][rule] >= cell for r in train) + 1) / (sum(r[1] == g for r in train) + 1)
+                             for g in (True, False))
+                lowest = min(lowest, good / bad)
+                if cell > 0 and lowest < 1:
+                    level = max(0, math.ceil((math.log10(lowest) / riskrules.DECADES + 1) * riskrules.LEVELS - 1e-9))
+                    path.setdefault(rule, []).append((cell, level))
+        best = None
+        for level in range(riskrules.LEVELS + 1):
+            limit = {rule: min((c for c, x in steps if x <= level), default=None) for rule, steps in path.items()}
+            gone = [any(c is not None and r[3][rule] >= c for rule, c in limit.items()) for r in held]
+            k = sum(g and r[1] for g, r in zip(gone, held))
+            if not (k < n_good * alpha and tail(n_good, k, alpha) <= delta / len(tested)):
+                break
+            gain = sum(g and not r[1] for g, r in zip(gone, held)) / max(1, n_bad) - k / max(1, n_good)
+            if gain > 0 and (best is None or gain > best[0]):
+                best = (gain, limit)
+        for rule, cell in (best[1] if best else {}).items():
+            if cell is not None:
+                out[stratum, rule] = (cell - 1) * riskrules.GRID[rule][0]
+    return out
+
+
+def labelled_rows(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", F.col("lang").alias("stratum"), "text")
+    said = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").where("quality is not null").groupBy("doc_id").agg(
+        (F.max("quality") == 1).alias("good"))
+    stats = saved(riskrules.counts(docs).drop("text"))
+    return stats.where(~riskrules.base_failed()).join(said, "doc_id").withColumn("train", riskrules.trains("doc_id"))
+
+
+@pytest.mark.parametrize("sf, alpha", [("sf0.01", 0.2), ("sf0.1", riskrules.ALPHA)])
+def test_cutoffs_against_a_plain_search(spark, sf, alpha):
+    frame = labelled_rows(spark, sf).cache()
+    names = list(riskrules.GRID)
+    rows = [(r.stratum, r.good, r.train, {n: r[n] for n in names}) for r in frame.select(
+        "stratum", "good", "train", *[c.alias(n) for n, c in riskrules.cells().items()]).collect()]
+    got = {(r.stratum, r.rule): r.cutoff for r in riskrules.cutoffs(frame, alpha).collect()}
+    assert got and got == plain_cutoffs(rows, alpha, riskrules.DELTA)
+
+
 def test_rules_on_nothing(docs, empty):
     labels = empty.selectExpr("doc_id", "cast(null as int) as quality")
     assert riskrules.judge(empty, labels).count() == 0
