@@ -1,17 +1,18 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-DataFrame functions only.  The documents' tokens are numbered; postings
-(term, document, position, with the words around it) are made for one index
-term of every benchmark window, its rarest word by corpus count; they are not
-saved.  Each posting, shifted by the word's offset in the window, names a
-start; no second posting list is intersected with it: the second rarest word
-and then the whole window are compared with the words that the posting
-carries, which decide exactly without a join of lists.  Proximity matches
-use the same postings: the second rarest word of a window among the carried
-words, in any order.
+DataFrame functions only.  The documents' tokens are numbered, and postings
+(term, document, position) are stored for the index terms: of every benchmark
+window its two rarest words by corpus count.  A phrase is found by
+intersecting lists: the rarest word's positions, shifted by the word's offset
+in the window, name starts, and the second word's list must have the start
+shifted by its own offset, an equi-join on (document, term, position).  What
+is left is compared as a whole with the words around the first posting, which
+that one carries.  Proximity matches join the same two lists of a document by
+position ranges, in any order of the words.
 
 Scale: the documents are tokenised twice (corpus counts, then postings) and
-never shuffled as text; only postings of rare terms move.  The benchmark's
+never shuffled as text; only postings of index terms move, and only those
+that start a window carry words.  The benchmark's
 terms and anchors are broadcast when a count of their rows (made first)
 stays under ``BROADCAST_ROWS``; beyond it Spark joins them by shuffle.
 Matches carry the document id, and a document's matches are first reduced to
@@ -92,9 +93,18 @@ def _rarest(windows: DataFrame, counted: DataFrame, n_terms: int) -> DataFrame:
                     F.get("r", F.lit(1)).alias("second")))
 
 
+def index_terms(anchors: DataFrame) -> DataFrame:
+    """(term, carried): both words of every window; ``carried`` marks those
+    that are the rarest of one."""
+    first = anchors.select("term", F.lit(True).alias("carried"))
+    second = anchors.where("second is not null").select(F.col("second.term").alias("term"), F.lit(False).alias("carried"))
+    return first.unionByName(second).groupBy("term").agg(F.max("carried").alias("carried"))
+
+
 def postings(tokenised: DataFrame, terms: DataFrame, n_terms: int, reach: int) -> DataFrame:
-    """Postings of the terms: __row, pos, term, and the words within ``reach``
-    of it (``around``, lower case; ``before`` of them precede the term)."""
+    """Postings of the terms: __row, pos, term, carried, and for carried ones
+    the words within ``reach`` (``around``, lower case; ``before`` of them
+    precede the term)."""
     folded = small(terms.select(F.lower("term").alias("folded")).distinct(), n_terms)
     if n_terms <= BROADCAST_ROWS:
         # joined inside the scan's stage: the array is never copied per word
@@ -107,18 +117,22 @@ def postings(tokenised: DataFrame, terms: DataFrame, n_terms: int, reach: int) -
               .groupBy("__row").agg(F.collect_set("pos").alias("places")))
         hit = (tokenised.join(at, "__row").select("__row", "__words", F.explode("places").alias("pos"))
                .withColumn("raw", F.col("__words")[F.col("pos")]))
+    hit = hit.withColumn("term", lowered(F.col("raw"))).join(small(terms, n_terms), "term")
     first = F.greatest(F.col("pos") - reach, F.lit(0))
-    return hit.select("__row", "pos", lowered(F.col("raw")).alias("term"), (F.col("pos") - first).alias("before"),
-                      F.split(lowered(F.array_join(F.slice("__words", first + 1, 2 * reach + 1), " ")), " ", -1).alias("around"))
+    around = F.split(lowered(F.array_join(F.slice("__words", first + 1, 2 * reach + 1), " ")), " ", -1)
+    return hit.select("__row", "pos", "term", "carried", (F.col("pos") - first).alias("before"),
+                      F.when(F.col("carried"), around).alias("around"))
 
 
 def phrase_matches(post: DataFrame, anchors: DataFrame, n_anchors: int) -> DataFrame:
     """Exact occurrences: __row, at (position of the first word), words, ids."""
     start = F.col("before") - F.col("offset")  # of the window, in ``around``
-    second = F.get("around", start + F.col("second.offset"))
-    near = (post.join(small(anchors, n_anchors), "term").where(start >= 0)
-            .where(F.col("second").isNull() | (second == F.col("second.term"))))
-    # (the bound again: conditions may be evaluated in any order)
+    starts = post.where("carried").join(small(anchors, n_anchors), "term").where(start >= 0)
+    other = post.select(F.col("__row").alias("__of"), F.col("pos").alias("__pos"), F.col("term").alias("__term"))
+    both = starts.where("second is not null").join(
+        other, F.col("__row").eqNullSafe(F.col("__of")) & (F.col("second.term") == F.col("__term"))
+        & (F.col("pos") - F.col("offset") + F.col("second.offset") == F.col("__pos")), "left_semi")
+    near = both.unionByName(starts.where("second is null"))
     exact = near.where(F.slice("around", F.greatest(start + 1, F.lit(1)), F.size("words")) == F.col("words"))
     return exact.select("__row", (F.col("pos") - F.col("offset")).alias("at"), "words", "ids")
 
@@ -129,12 +143,25 @@ def proximity_matches(docs: DataFrame, items: DataFrame, within: int = 30, id_co
     """doc id, item_id, pos: the window's rarest word at ``pos`` has the second
     rarest within ``within`` words, in any order."""
     t, anchors, n_anchors = _prepared(docs, items, id_col, text_col, item_id_col, item_text_col, window)
-    post = postings(t, anchors.select("term").distinct(), n_anchors, within)
-    near = (post.join(small(anchors.select("ids", "term", F.col("second.term").alias("other")), n_anchors), "term")
-            .where(F.array_contains("around", F.col("other"))))
+    post = stored_postings(t, anchors, 0).select("__row", "pos", "term", "carried")
+    first = (post.where("carried").join(small(anchors.where("second is not null").select(
+                "ids", "term", F.col("second.term").alias("other")), n_anchors), "term")
+             # positions meet in their own and the neighbouring stretches
+             .withColumn("stretch", F.explode(F.array(*[F.floor(F.col("pos") / (within + 1)) + i for i in (-1, 0, 1)]))))
+    other = post.select(F.col("__row").alias("__of"), F.col("pos").alias("__pos"), F.col("term").alias("__term"),
+                        F.floor(F.col("pos") / (within + 1)).alias("__stretch"))
+    near = first.join(other, F.col("__row").eqNullSafe(F.col("__of")) & (F.col("other") == F.col("__term"))
+                      & (F.col("stretch") == F.col("__stretch")) & (F.col("pos") != F.col("__pos")) & (F.abs(F.col("pos") - F.col("__pos")) <= within), "left_semi")
     return near.select(F.col("__row.id").alias(id_col), F.explode("ids").alias("item_id"), "pos").distinct()
 
 
+def stored_postings(tokenised: DataFrame, anchors: DataFrame, reach: int) -> DataFrame:
+    """The index of the anchors' words, kept in the checkpoint folder: both
+    lists of every intersection are read from it."""
+    terms = saved(index_terms(anchors))
+    return saved(postings(tokenised, terms, terms.count(), reach))
+
+
 def _prepared(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str,
               window: int) -> tuple[DataFrame, DataFrame, int]:
     """Tokenised documents (__row, __words), anchors and their number."""
@@ -158,7 +185,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     item's window), n_items, item_ids (sorted as strings), contaminated."""
     docs = docs.drop(*RESULT)
     t, anchors, n_anchors = _prepared(docs, items, id_col, text_col, item_id_col, item_text_col, window)
-    post = postings(t, anchors.select("term").distinct(), n_anchors, window - 1)
+    post = stored_postings(t, anchors, window - 1)
     # per document: the windows found there in order, each adding the words
     # that the ones before it left open
     per_doc = phrase_matches(post, anchors, n_anchors).groupBy("__row").agg(
