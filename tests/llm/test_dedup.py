@@ -16,7 +16,10 @@ from tests.llm.conftest import LAST, order_of
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def test_rlz_matches_brute_force(docs, corpus):
+@pytest.mark.parametrize("chunks", [None, 7])
+def test_rlz_matches_brute_force(docs, corpus, chunks, monkeypatch):
+    if chunks:
+        monkeypatch.setattr(rlz.B, "layout", lambda total: chunks)
     first = {}
     for doc_id, text, *_ in corpus:
         w = WORD.findall(text or "")
@@ -32,7 +35,20 @@ def test_rlz_matches_brute_force(docs, corpus):
                 gone.update(range(i, i + 13))
         want[(doc_id, text, lang, source, n, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))] += 1
     got = Counter()
+    texts = {}
+    for doc_id, text, *_ in corpus:
+        texts.setdefault(order_of(doc_id), []).append(WORD.findall(text or ""))
     for r in rlz.dedup_substrings(docs).collect():
+        # a factor is one piece of its reference, and could not go on where
+            # the next phrase occurs once there
+        own = WORD.findall(r.text or "")
+        for f in r.factors:
+            piece = own[f.start:f.start + f.n_words]
+            assert any(w[f.ref_start:f.ref_start + f.n_words] == piece for w in texts[f.ref_doc])
+            nxt = tuple(own[f.start + f.n_words - 12:f.start + f.n_words + 1])
+            there = sum(tuple(w[i:i + 13]) == nxt for w in texts[f.ref_doc] for i in range(len(w) - 12))
+            if len(nxt) == 13 and first[nxt] == f.ref_doc and there == 1:
+                assert any(w[f.ref_start:f.ref_start + f.n_words + 1] != own[f.start:f.start + f.n_words + 1] for w in texts[f.ref_doc])
         kept = " ".join(WORD.findall(r.kept_text))
         got[(r.doc_id, r.text, r.lang, r.source, r.n_chars, r.n_words, r.n_removed, kept)] += 1
         cover = {i for f in r.factors for i in range(f.start, f.start + f.n_words)}
