@@ -35,12 +35,16 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first().n or 0)
 
 
-def chunked(docs: DataFrame, id_col: str, chunks: int) -> DataFrame:
-    """Documents with the order key (null ids last) and the chunk."""
+def chunked(docs: DataFrame, id_col: str, chunks: int, spread_by: str | None = None) -> DataFrame:
+    """Documents with the order key (null ids last) and the chunk.  Rows of
+    one id, and all rows without one, share a chunk unless ``spread_by`` names
+    a column that spreads them: for steps to which rows of equal order are
+    equal."""
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
+    owner = F.xxhash64(order) if spread_by is None else F.xxhash64(order, F.col(spread_by))
     return docs.withColumns({
         ORDER: order,
-        CHUNK: F.pmod(F.xxhash64(order), F.lit(chunks)).cast("long"),
+        CHUNK: F.pmod(owner, F.lit(chunks)).cast("long"),
     })
 
 

@@ -49,7 +49,11 @@ RESULT = ("lang_pred", "score")
 
 
 def letters(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    found = WORD.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    # numerals other than digits (fractions, circled and Roman numbers) are no letters
+    return [x for w in found for x in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 def grams(word: str, n: int) -> list[str]:

@@ -186,7 +186,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     of start word, words, reference document and start word there)."""
     docs = docs.drop(*RESULT)
     n = B.layout(B.text_bytes(docs, text_col))
-    rows = B.chunked(docs, id_col, n)
+    rows = B.chunked(docs, id_col, n, spread_by=text_col)
     deal_ddl = f"block long, {B.CHUNK} long, keys binary"
     told = (rows.groupBy(B.CHUNK).applyInArrow(_send_anchors(text_col, length, n), deal_ddl)
             .groupBy("block").applyInArrow(B.shared_keys, f"{B.CHUNK} long, keys binary"))

@@ -58,6 +58,12 @@ def test_rlz_matches_brute_force(docs, corpus, chunks, monkeypatch):
     assert got == want
 
 
+def test_rows_without_id_use_many_chunks(spark):
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    rows = rlz.B.chunked(df, "doc_id", 50, spread_by="text")
+    assert rows.select(rlz.B.CHUNK).distinct().count() > 40
+
+
 def test_radix_matches_brute_force(docs, corpus):
     n = 100
     rows = sorted(corpus, key=lambda r: (order_of(r[0]), r[1] or ""))

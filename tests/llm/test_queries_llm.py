@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 import corpus_pipeline
 from runlens.llm.queries import ORACLE, QUERIES
+from runlens.llm.store import saved
 from runlens.plans.compare import compare, duckdb_conn
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import order_of
@@ -111,6 +113,20 @@ def test_pipeline_stages(spark, docs, corpus, tmp_path):
     assert sum(p.length for p in packed) == ids
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, docs):
+    names = ["lang_pred", "score", "n_words", "n_removed", "kept_text", "factors", "n_hit", "contaminated", "item_ids"]
+    frame = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("n_chars")).alias(n) for n in names])
+    plain = frame
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        frame, plain = stage(spark, frame, SF_SMALL), stage(spark, plain.drop(*names), SF_SMALL)
+        assert set(frame.columns) == set(docs.columns) | set(names)
+        frame, plain = saved(frame), saved(plain)
+        rest = [c for c in docs.columns if c != "n_chars"]
+        assert as_set(frame.select(*rest)) == as_set(plain.select(*rest))
+    for r in frame.where("doc_id is not null and n_chars is not null").collect():
+        assert r.n_words is None or r.n_words.startswith("n_words of ")
+
+
 def test_pipeline_of_nothing(spark, empty, tmp_path):
     df = empty
     for name, stage in corpus_pipeline.STAGES:

@@ -396,6 +396,10 @@ def test_cutoffs_against_a_plain_search(spark, sf, alpha):
     assert got and got == plain_cutoffs(rows, alpha, riskrules.DELTA)
 
 
+def test_numerals_are_no_letters():
+    assert langid.letters("½ ① ² Ⅷ 12_3") == [] and langid.letters("a½b Ⅷx É") == ["a", "b", "x", "é"]
+
+
 def test_rules_on_nothing(docs, empty):
     labels = empty.selectExpr("doc_id", "cast(null as int) as quality")
     assert riskrules.judge(empty, labels).count() == 0
