@@ -58,9 +58,9 @@ def _sql_agg(col: str, kind: str, agg: str, where: str | None = None) -> str:
         }[agg]
     if agg == "min" or agg == "max":
         e = f"{agg}({c}){f}"
-        return r4(e) if kind == "double" else e
+        return r4(e) if kind == "double" else f"CAST({e} AS VARCHAR)" if kind == "decimal" else e
     if agg == "sum":
-        return r4(f"sum({c}){f}") if kind == "double" else f"sum({c}){f}" if kind == "decimal" else f"CAST(sum({c}){f} AS BIGINT)"
+        return r4(f"sum({c}){f}") if kind == "double" else f"CAST(sum({c}){f} AS VARCHAR)" if kind == "decimal" else f"CAST(sum({c}){f} AS BIGINT)"
     if agg == "mean":
         return r4(f"avg({c}){f}")
     if agg == "nunique":
@@ -178,7 +178,9 @@ def agg_typed_wide(spark, sf_dir):
         "memoryMetrics": F.struct(F.expr("maxMemory div 3").alias("usedOnHeapStorageMemory"),
                                   F.struct((F.col("totalDuration") / 1000.0).alias("ratio")).alias("peak")),
         "charge": F.concat(F.lit("90071992547409930.0"), F.col("failedTasks").cast("string")).cast("decimal(20,2)")})
-    return typed_aggregate(nested, K).drop("charge_mean")
+    # decimals as text: every digit is compared
+    exact = {f"charge_{a}": F.col(f"charge_{a}").cast("string") for a in ("min", "max", "sum")}
+    return typed_aggregate(nested, K).drop("charge_mean").withColumns(exact)
 
 
 def _long_sql(cols, entity: str, source: str) -> str:
