@@ -41,6 +41,10 @@ TIME_UNITS = {
     "d": 24 * 60 * 60 * 1000,
 }
 
+# A decimal number with one leading digit ('10.5' is none), as the format's
+# own check has it.
+STRICT_FLOAT_PATTERN = r"^[+-]?[0-9](>?\.[0-9]+)?$"
+
 # Human readable size prefixes.
 SIZEOF_PREFIXES = ["", "k", "M", "G", "T"]
 

@@ -11,12 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from runlens.constants import GIB, HDFS_BLOCK_BYTES, SIZE_UNITS, SIZEOF_PREFIXES, TIME_UNITS
+from runlens.constants import GIB, HDFS_BLOCK_BYTES, SIZE_UNITS, SIZEOF_PREFIXES, STRICT_FLOAT_PATTERN, TIME_UNITS
 
 INT_PATTERN = r"^[-+]?[0-9]+$"
-# One leading digit only, as in the source format's own check ('10.5' is not
-# a float there).  Used with strict=True.
-STRICT_FLOAT_PATTERN = r"^[+-]?[0-9](>?\.[0-9]+)?$"
 FLOAT_PATTERN = r"^[+-]?[0-9]+(\.[0-9]+)?$"
 
 

@@ -58,4 +58,4 @@ def register(key: str, sql: str | None = None):
 
 
 # The individual query groups register themselves on import.
-from runlens.plans import q_aggs, q_core, q_dash, q_docs, q_etl, q_functions, q_incremental, q_ingest, q_sources, q_yarn  # noqa: E402,F401
+from runlens.plans import q_aggs, q_core, q_dash, q_docs, q_etl, q_functions, q_incremental, q_ingest, q_jobs, q_sources, q_yarn  # noqa: E402,F401

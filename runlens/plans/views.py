@@ -212,11 +212,13 @@ def landed_v(spark: SparkSession, sf_dir: str, listing: int) -> DataFrame:
         worker = F.struct(F.lit("1").alias("id"), x["startTime"].alias("addTime"), (1 + k % 4).cast("int").alias("totalCores"),
                           ((1 + k % 8) * (1 << 30)).cast("bigint").alias("maxMemory"), (x["duration"] * (1 + k % 2)).alias("totalDuration"))
         both = F.transform(F.array(driver, worker), lambda e: e.withField("totalInputBytes", k * 1024).withField("removeTime", x["endTime"])
+                           .withField("hostPort", F.lit("node-1:7337"))
                            .withField("memoryMetrics", F.struct((k * 10).alias("usedOnHeapStorageMemory"))))
         stage = F.struct(
             F.lit(0).alias("stageId"), F.lit(0).alias("attemptId"), x["startTime"].alias("submissionTime"),
             x["startTime"].alias("firstTaskLaunchedTime"), x["endTime"].alias("completionTime"), (k * 1024).alias("inputBytes"),
-            k.alias("inputRecords"), (k * 512).alias("outputBytes"), (k * 1000).alias("executorCpuTime"), F.lit(1).alias("numCompleteTasks"))
+            k.alias("inputRecords"), (k * 512).alias("outputBytes"), (k * 1000).alias("executorCpuTime"), F.lit(1).alias("numCompleteTasks"),
+            F.lit("stage 0").alias("details"))
         properties = F.array(pair("spark.executor.memory", F.concat((1 + k % 8).cast("string"), F.lit("g"))),
                              pair("spark.executor.cores", F.when(k % 10 == 0, F.lit("many")).otherwise((1 + k % 4).cast("string"))))
         return (x.withField("completed", F.lit(True)).withField("allexecutors", both).withField("stages", F.array(stage))
@@ -359,6 +361,21 @@ def yarn_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def yarn_attempts_v(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Attempts of the cluster-manager applications (one, or two for odd
+    event ids) and their one to three containers, as records to be landed."""
+    k = F.substring_index("id", "_y", -1).cast("bigint")
+    apps = yarn_v(spark, sf_dir).withColumns({"__k": k, "__n": F.explode(F.sequence(F.lit(1).cast("bigint"), 1 + k % 2))})
+    attempts = apps.select(
+        F.col("id").alias("appId"), F.col("__n").cast("int").alias("id"),
+        F.concat("id", F.lit("_attempt_"), F.col("__n").cast("string")).alias("appAttemptId"),
+        (F.col("startedTime") + F.col("__n") * 1000).alias("startTime"), "finishedTime", "allocatedMB", "__k", "__n")
+    held = F.sequence(F.lit(1).cast("bigint"), 1 + (F.col("__k") + F.col("__n")) % 3)
+    containers = attempts.select("appId", "appAttemptId", "allocatedMB", F.explode(held).alias("__c")).select(
+        "appId", "appAttemptId", F.concat("appAttemptId", F.lit("_c"), F.col("__c").cast("string")).alias("containerId"), "allocatedMB")
+    return attempts.drop("allocatedMB", "__k", "__n"), containers
+
+
 # ---------------------------------------------------------------------------
 # ETL run registry: runs and checkpoints
 # ---------------------------------------------------------------------------
