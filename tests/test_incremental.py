@@ -123,6 +123,43 @@ def test_distinct_counts_keep_their_types(spark):
     assert plan.count("HashAggregate") + plan.count("SortAggregate") <= 4
 
 
+def test_distinct_counts_of_small_and_large_groups(spark, monkeypatch):
+    from runlens.operators import typed_agg as A
+
+    nan, none = float("nan"), None
+    rows = [("a", 0.0, 1), ("a", -0.0, 1), ("a", nan, 2), ("a", nan, none), ("a", none, 3), ("b", 2.5, none), (none, 1.0, 7), (none, 1.0, 8)]
+    df = spark.createDataFrame(rows, "k string, f double, l long")
+    small = A.typed_aggregate(df, ["k"])
+    # no row for each value: the groups' sets are aggregates like the others
+    assert "Generate" not in small._jdf.queryExecution().optimizedPlan().toString()
+    names = ["k", "elements_count", "f_nunique", "l_nunique", "l_sum"]
+    got = {r.k: tuple(r)[1:] for r in small.select(*names).collect()}
+    assert got == {"a": (5, 2, 3, 7), "b": (1, 1, none, none), none: (2, 1, 2, 15)}
+    for limit in (0, 1, 3):
+        monkeypatch.setattr(A, "GROUP_ROWS", limit)
+        mixed = A.typed_aggregate(df, ["k"])
+        assert mixed.columns == small.columns
+        assert "Generate" in mixed._jdf.queryExecution().optimizedPlan().toString()
+        assert {r.k: tuple(r)[1:] for r in mixed.select(*names).collect()} == got
+    ex = df.selectExpr("k", "if(l = 1, 'driver', 'x') as id", "l as addTime", "f")
+    parts = sorted(map(str, A.executor_aggregate(ex, ["k"]).collect()))
+    monkeypatch.setattr(A, "GROUP_ROWS", 10_000)
+    assert sorted(map(str, A.executor_aggregate(ex, ["k"]).collect())) == parts
+
+
+def test_groups_of_the_views_need_no_further_shuffle(spark):
+    from runlens.operators import metrics as M
+    from runlens.plans import views as V
+    from tests.conftest import SF_SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.stage_aggregate(V.stages_v(spark, SF_SMALL), nunique="none")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # line items and orders
+
+
 def test_bundle_equals_its_parts(spark):
     from runlens.operators import metrics as M
     from runlens.operators.typed_agg import executor_aggregate
