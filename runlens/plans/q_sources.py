@@ -86,9 +86,10 @@ def q_table_stats(spark, sf_dir):
 def src_environment(spark, sf_dir):
     """Environment documents of the listed attempts (attempts of one host)."""
     att = V.runs_v(spark, sf_dir).where(F.col("host") == "host-2")
-    env = V.env_v(spark, sf_dir)
-    return S.attempt_children(att, env).select(*K, F.when(F.col("sparkProperties").isNotNull(), F.size("sparkProperties")).cast("bigint")
-                                                 .alias("n_property_pairs"))
+    # counted before the join, which then shuffles a number instead of the pairs
+    n = F.when(F.col("sparkProperties").isNotNull(), F.size("sparkProperties")).cast("bigint")
+    env = V.env_v(spark, sf_dir).select(*K, n.alias("n_property_pairs"))
+    return S.attempt_children(att, env).select(*K, "n_property_pairs")
 
 
 @register(
