@@ -139,3 +139,20 @@ def test_text_helpers(spark):
     assert one(spark, fn.get_path(F.col("x"), ["a", "c"]), '{"a": {"b": 7}}') is None
     assert one(spark, fn.version_int(F.col("x")), "12") == 12
     assert one(spark, fn.version_int(F.col("x")), "v2") is None
+
+
+def test_parse_date_tries_formats_by_shape(spark):
+    texts = ["15-01-2020 10:00:00 +0200", "15-01-2020 10:00:00 +02:00", "15-01-2020 10:00:00 Z", "2020-01-15 10:00:00 z",
+             "2020-01-15 10:00:00 -0130", "2020-01-15 10:00:00", "0015-01-2020 1:1:1", "-2020-1-1 0:0:0", "15-01-+12020 1:1:1",
+             "+12020-1-15 1:1:1", "2020-1-00015 1:1:1", "15-01-020 1:1:1", "2020-01-15", "n/a", "", " ", "sometime else now",
+             "2020-01-15  10:00:00", "15-01-2020 10:00:00 ", "31-02-2020 1:1:1", "15-01-2020 10:00:00 GMT+2", None]
+    x = F.col("x")
+    zoned = [F.try_to_timestamp(x, F.lit(f)) for f in ("d-M-yyyy H:m:s Z", "d-M-yyyy H:m:s XXX", "yyyy-M-d H:m:s Z", "yyyy-M-d H:m:s XXX")]
+    local = [F.try_to_timestamp(x, F.lit(f)) for f in ("d-M-yyyy H:m:s", "yyyy-M-d H:m:s")]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    both = df.select("x", F.unix_micros(fn.parse_date(x)).alias("got"), F.unix_micros(F.coalesce(*zoned, *local)).alias("all"))
+    assert [(r["x"], r["got"]) for r in both.collect()] == [(r["x"], r["all"]) for r in both.collect()]
+    assert both.where("got is not null").count() >= 8
+    # every format is guarded: none is tried on a text of another shape
+    plan = both.select("got")._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(CASE WHEN" in plan
