@@ -143,6 +143,16 @@ def test_checkpoints_of_a_run_are_shuffled_once(spark, tmp_path):
     assert durations.count() == 4 and controls.where("controls_match").count() == 2
 
 
+def test_checkpoints_without_line_number_come_last(spark, tmp_path):
+    sf = _write(spark, tmp_path, [1], [(1, 1), (1, 2)])
+    items = spark.read.parquet(f"{sf}/lineitem.parquet")
+    nulled = items.withColumn("l_linenumber", F.when(F.col("l_linenumber") != 1, F.col("l_linenumber")))
+    nulled.write.parquet(f"{sf}/nulled/lineitem.parquet")
+    spark.read.parquet(f"{sf}/orders.parquet").write.parquet(f"{sf}/nulled/orders.parquet")
+    got = V.checkpoints_v(spark, f"{sf}/nulled").orderBy("cp_pos").collect()
+    assert [r["name"] for r in got] == [" Stage 2", None]
+
+
 def test_reference_with_a_repeated_name(spark):
     same = c(("rc", "1"), ("rc", "2"))
     rows = [("twice", 1, "Raw", None, None, same), ("twice", 2, "Std", None, None, same),
