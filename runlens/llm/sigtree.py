@@ -27,7 +27,7 @@ blocks is a task of its own; no group meets in one task.  Such a group costs
 the square of its number of blocks, less what the trees prune.  Texts of the
 classes in groups are fetched by a broadcast of their ids and text hashes
 where a count (made first) shows at most ``BROADCAST_ROWS`` of them, by
-shuffle beyond.  Links are between classes (each has a number), never between
+shuffle beyond, of the texts whose hash a bitmap of theirs knows.  Links are between classes (each has a number), never between
 ids: several texts may share an id.  Ids come back in the last step, as the
 smallest of each component.
 
@@ -51,10 +51,11 @@ from pyspark.sql import functions as F
 from runlens.llm import blocks as B
 from runlens.llm import components
 from runlens.llm import textops as T
-from runlens.llm.store import saved, small_batches
+from runlens.llm.store import freed_shuffles, saved, small_batches
 
 PART, PART_ROWS, HASH_BITS = 1 << 20, 4096, 52
 BROADCAST_ROWS = 200_000
+MARK_WORDS = 1 << 20  # of 64 bits: the bitmap of the texts that a shuffle carries (16 MB at most)
 # shingles held by so many parts are common; of them, the bitmap (8 MB) takes
 # the most frequent ``COMMON_MOST`` at most
 COMMON_PARTS, COMMON, COMMON_MOST = 4, 1 << 26, 4_000_000
@@ -424,9 +425,24 @@ def _compare(percent: int):
     return run
 
 
+def marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts whose hash is among those of ``wanted``, and a few others (those
+    that share its bit)."""
+    word = F.pmod(F.shiftright(MARK, 6), F.lit(MARK_WORDS)).alias("__word")
+    bit = F.expr(f"shiftleft(1L, cast({MARK} & 63 as int))")
+    words = wanted.groupBy(word).agg(F.bit_or(bit).alias("__bits"))
+    return texts.withColumn("__word", word).join(F.broadcast(words), "__word").where(
+        F.col("__bits").bitwiseAND(bit) != 0).drop("__word", "__bits")
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable by links of
     similarity ``percent`` / 100 or more)."""
+    with freed_shuffles(docs.sparkSession):
+        return _link_documents(docs, id_col, text_col, size, percent)
+
+
+def _link_documents(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     small_batches(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(B.LAST)).alias(B.ORDER), text_col)
     texts = rows.select(B.ORDER, F.xxhash64(text_col).alias(MARK), text_col)
@@ -464,6 +480,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      F.when((F.col("own") == F.col("pair.j")) & (F.col("pair.i") < F.col("pair.j")), 1).otherwise(0).alias("side")))
     if dealt.count() <= BROADCAST_ROWS:
         dealt = F.broadcast(dealt)
+    else:
+        texts = marked(texts, reps)
     sets = (texts.join(dealt, [B.ORDER, MARK]).select("task", "side", "cluster", "node", "one", "two", text_col)
             .mapInArrow(_sets(text_col, size), "task long, side int, cluster long, node long, n long, set binary"))
     links = sets.groupBy("task").applyInArrow(_compare(percent), "left long, right long")

@@ -231,3 +231,36 @@ def test_super_windows_share_anchors():
     for s, r in zip(at.tolist(), run.tolist()):
         anchor.setdefault(symbols[s:s + 13].tobytes(), set()).add(int(sw.anchor[r]))
     assert all(len(a) == 1 for a in anchor.values())
+
+
+def test_links_leave_no_shuffle_on_disk(spark, monkeypatch):
+    """The shuffles of finished steps go at once, and where texts are
+    shuffled only those in groups are."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i:i + 60]) for i in range(0, 300, 60)]
+    data = [(i, t) for i, t in enumerate(texts * 2)] + [(100 + i, " ".join(f"u{i}x{j}" for j in range(40))) for i in range(60)]
+    data += [(200 + i, t.replace(" ", f" extra{i} ", 1)) for i, t in enumerate(texts)] + [(300, None), (None, texts[0])]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    sort = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    want = sort(sigtree.link_documents(docs, size=3, percent=80))
+    monkeypatch.setattr(sigtree, "BROADCAST_ROWS", 0)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = files()
+    out = sigtree.link_documents(docs, size=3, percent=80)
+    for _ in range(100):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    assert sort(out) == want and {r[2] for r in want if r[0] in (0, 5, 200)} == {0}
+    marks = docs.where("text is not null").select(F.xxhash64("text").alias(sigtree.MARK), "text")
+    sent = sigtree.marked(marks, marks.where("text like 'w0 %' or text like 'w60 %'"))
+    assert {r.text for r in sent.collect()} >= {texts[0], texts[1]} and sent.count() < 15
